@@ -8,7 +8,7 @@ list is data owned by the caller; nothing here knows any business word.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -76,6 +76,25 @@ def first_match(column: str | Column | None, rules: Sequence[Rule], default: str
     return chain.otherwise(fallback)
 
 
+def with_first_match(df: DataFrame, name: str, column: str, rules: Sequence[Rule],
+                     default: str | Column | None = None) -> DataFrame:
+    """``df`` with :func:`first_match` as column ``name``.
+
+    Folds the text once per row; inside one expression every rule would fold
+    it again, which adds up for long keyword lists.
+    """
+    folds = {r.fold: f"_{r.fold}" for r in rules if r.fold and not r.trim and r.column is None}
+    folded = df.withColumns({tmp: getattr(F, fold)(F.col(column)) for fold, tmp in folds.items()})
+    plain = [replace(r, column=folds[r.fold], fold=None, equals=_folded(r.equals, r), like=_folded(r.like, r),
+                     contains=_folded(r.contains, r)) if r.fold in folds and not r.trim and r.column is None else r
+             for r in rules]
+    return folded.withColumn(name, first_match(column, plain, default)).drop(*folds.values())
+
+
+def _folded(patterns: Sequence[str], rule: Rule) -> tuple[str, ...]:
+    return tuple(_fold(p, rule.fold) for p in patterns)
+
+
 def recode(column: str | Column, mapping: Mapping[str, str], default: str | Column | None = None) -> Column:
     """Exact-value recode."""
     return first_match(column, [Rule(v, equals=(k,)) for k, v in mapping.items()], default)

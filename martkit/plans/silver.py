@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.casts import from_micros, ratio, safe_cast, safe_long
 from ..functions.keys import surrogate_key
-from ..functions.rules import Rule, first_match, recode
+from ..functions.rules import Rule, first_match, recode, with_first_match
 from ..functions.status import IDLE, delivery_status_a, delivery_status_b
 from ..functions.text import initcap_words
 from ..operators.dedup import latest, recent, top_one
@@ -110,8 +110,9 @@ def _event_a(ctx: Context) -> Column:
     return first_match("account_name", ctx.account_rules, F.col("account_name"))
 
 
-def _event_b(ctx: Context) -> Column:
-    return first_match("campaign_name", ctx.campaign_rules, ctx.campaign_default)
+def _named_b(src: DataFrame, ctx: Context) -> DataFrame:
+    """Platform B rows with the event series found in the campaign name."""
+    return with_first_match(src, "event_name", "campaign_name", ctx.campaign_rules, ctx.campaign_default)
 
 
 def _with_status(df: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
@@ -309,8 +310,8 @@ def _set_and_ad() -> dict[str, str | Column]:
 
 def b_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J17."""
-    src = _newest(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx)
-    typed = _typed(src, {**_head(_event_b(ctx), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
+    src = _named_b(_newest(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx), ctx)
+    typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
     return _finish(_with_status(typed, inputs, ctx),
@@ -321,8 +322,8 @@ def b_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
 def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFrame, inputs: Inputs,
                            ctx: Context) -> DataFrame:
     """Ad rows with the texts of their creative."""
-    src = _newest(raw, ["date", "ad_id"], ctx)
-    typed = _typed(src, {**_head(_event_b(ctx), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
+    src = _named_b(_newest(raw, ["date", "ad_id"], ctx), ctx)
+    typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
     texts = ["headline", "body", "call_to_action_type", "destination_url", "image_url"]
@@ -338,8 +339,8 @@ def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFra
 
 def b_conversion_action(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J19."""
-    src = _newest(raw, ["date", "campaign_id", "adset_id", "ad_id", "conversion_action"], ctx)
-    typed = _typed(src, {**_head(_event_b(ctx), "ad_id", "conversion_action"), **_set_and_ad(),
+    src = _named_b(_newest(raw, ["date", "campaign_id", "adset_id", "ad_id", "conversion_action"], ctx), ctx)
+    typed = _typed(src, {**_head(F.col("event_name"), "ad_id", "conversion_action"), **_set_and_ad(),
                          "conversion_action": "conversion_action",
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          "currency": "currency"})
@@ -350,8 +351,8 @@ def b_conversion_action(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFra
 def b_demographics(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J20."""
     keys = ["campaign_id", "adset_id", "ad_id", "age", "gender"]
-    src = _newest(raw, ["date", *keys], ctx)
-    typed = _typed(src, {**_head(_event_b(ctx), *keys), "ad_group_id": F.col("adset_id").cast("string"),
+    src = _named_b(_newest(raw, ["date", *keys], ctx), ctx)
+    typed = _typed(src, {**_head(F.col("event_name"), *keys), "ad_group_id": F.col("adset_id").cast("string"),
                          "ad_group_name": "adset_name", "age_group": "age", "gender": initcap_words("gender"),
                          "report_granularity": F.lit(COMBINED), **_delivery_b(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
@@ -379,9 +380,9 @@ def _action_metrics() -> dict[str, Column]:
 def b_demographic_conversions(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J21."""
     keys = ["campaign_id", "adset_id", "ad_id", "age", "gender"]
-    src = _actions(raw, keys, ctx)
+    src = _named_b(_actions(raw, keys, ctx), ctx)
     typed = zero_metrics(_typed(src, {
-        **_head(_event_b(ctx), *keys, "conversion_action_name"),
+        **_head(F.col("event_name"), *keys, "conversion_action_name"),
         "ad_group_id": F.col("adset_id").cast("string"), "ad_group_name": "adset_name",
         "age_group": F.coalesce("age", F.lit(UNKNOWN)),
         "gender": initcap_words(F.coalesce("gender", F.lit(UNKNOWN))),
@@ -395,11 +396,11 @@ def b_demographic_conversions(raw: DataFrame, inputs: Inputs, ctx: Context) -> D
 def b_geo(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """A missing region makes the row country level."""
     keys = ["campaign_id", "adset_id", "ad_id", "country", "region"]
-    src = _newest(raw, ["date", *keys], ctx)
+    src = _named_b(_newest(raw, ["date", *keys], ctx), ctx)
     region = F.col("region")
     level = F.when(region.isNull() | region.isin(list(ctx.missing_regions)), F.lit(COUNTRY_LEVEL)).otherwise(
         F.lit(REGION_LEVEL))
-    typed = _typed(src, {**_head(_event_b(ctx), *keys), "adset_id": F.col("adset_id").cast("string"),
+    typed = _typed(src, {**_head(F.col("event_name"), *keys), "adset_id": F.col("adset_id").cast("string"),
                          "adset_name": "adset_name", **_text("ad_id"), "ad_name": "ad_name", "region_name": "region",
                          "canonical_name": F.concat("region", F.lit(", "), "country"), "country_code": "country",
                          "geo_target_type": level, **_delivery_b(src),
@@ -413,9 +414,9 @@ def b_geo(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
 def b_geo_conversions(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """Country level conversions from the action JSON."""
     keys = ["campaign_id", "adset_id", "ad_id", "country"]
-    src = _actions(raw, keys, ctx)
+    src = _named_b(_actions(raw, keys, ctx), ctx)
     typed = zero_metrics(_typed(src, {
-        **_head(_event_b(ctx), *keys, "conversion_action_name"),
+        **_head(F.col("event_name"), *keys, "conversion_action_name"),
         "ad_group_id": F.col("adset_id").cast("string"), "ad_group_name": "adset_name",
         "location_type": F.lit(TARGETED_LOCATION), "region_name": F.lit(UNKNOWN), "canonical_name": "country",
         "country_code": "country", "geo_target_type": F.lit(COUNTRY_LEVEL), **_action_metrics(),

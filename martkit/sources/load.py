@@ -91,9 +91,12 @@ def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Seq
         if old is None:
             write_clustered(batch, path, day, cluster)
             return True
+        differing = set(old.columns) ^ set(batch.columns)
+        if differing:
+            raise ValueError(f"columns differ from the table: {sorted(differing)}")
         touched = old.where(inside)
         kept = touched.where(~F.coalesce(mine, F.lit(False)))
-        merged = stack(kept, batch.select(kept.columns))
+        merged = stack(kept, batch)
         # At most one value per day of the range reaches the driver.
         before = {r[0] for r in touched.select(day).distinct().collect()}
         after = {r[0] for r in merged.select(day).distinct().collect()}

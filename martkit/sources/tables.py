@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from .schemas import RAW, raw_schema
 
@@ -48,11 +47,11 @@ def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], header_ma
     its name). A record must not span lines.
     """
     marker = header_marker if header_marker is not None else columns[0]
-    schema = StructType.fromDDL(", ".join(f"`{c}` string" for c in columns))
+    schema = ", ".join(f"`{c}` string" for c in columns)
     line = F.regexp_replace(F.col("value"), f"^{BOM}|\\r$", "")
     whole = line.rlike(r'^"[^"]*"$') & line.contains(",")
     line = F.when(whole, F.substring(line, 2, F.length(line) - 2)).otherwise(line)
-    rows = spark.read.text(path).select(F.from_csv(line, schema.simpleString()[7:-1]).alias("r")).select("r.*")
+    rows = spark.read.text(path).select(F.from_csv(line, schema).alias("r")).select("r.*")
     return rows.where(F.col(f"`{columns[0]}`") != F.lit(marker))
 
 
