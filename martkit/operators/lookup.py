@@ -160,7 +160,8 @@ def with_creative(ads: DataFrame, bridge: DataFrame, creatives: DataFrame, colum
     else:
         pairs = latest(pairs, ["ad_id"], "_o", ["creative_id"]).drop("_o")
         looks = latest(looks, ["creative_id"], order, tie).select("creative_id", *columns)
-    linked = pairs.join(looks, "creative_id", "left").drop("creative_id").where(F.col("ad_id").isNotNull())
+    pairs = pairs.where(F.col("ad_id").isNotNull())
+    linked = lookup(pairs, looks, ["creative_id"], bound=bound).drop("creative_id")
     if fan_out:
         linked = linked.distinct()
     return lookup(ads, linked, ["ad_id"], bound=bound)

@@ -79,23 +79,22 @@ def explode_actions(df: DataFrame, actions: str = "actions", values: str = "acti
 
     Rows without actions vanish, actions without a type too. Among values of
     one type the ``first`` or ``last`` counts; ``missing`` replaces no value.
-    The value is paired inside the array, so exploded rows stay narrow.
+    Both arrays are parsed below the generator, once per row and not per action.
+    The outer form is used because the inner one makes Spark add a size filter
+    that parses the JSON a second time; rows without actions go in the filter.
     """
     position = {"first": 1, "last": -1}[duplicate]
     kind, count, value = names
-    parsed = df.withColumns({"_a": parse_actions(df, actions), "_v": parse_actions(df, values)})
-
-    def paired(a):
-        same = F.filter(F.col("_v"), lambda v: v["action_type"] == a["action_type"])
-        found = _number(F.try_element_at(same, F.lit(position))["value"], strict)
-        if missing is not None:
-            found = F.coalesce(found, F.lit(missing))
-        return F.struct(a["action_type"].alias(kind), _number(a["value"], strict).alias(count), found.alias(value))
-
-    typed = F.filter(F.col("_a"), lambda a: a["action_type"].isNotNull())
-    narrow = parsed.withColumn("_p", F.transform(typed, paired)).drop("_a", "_v", actions, values)
-    keep = [c for c in narrow.columns if c != "_p"]
-    return narrow.select(*keep, F.inline("_p"))
+    keep = [c for c in df.columns if c not in (actions, values)]
+    unfolded = (df.withColumns({"_a": parse_actions(df, actions), "_v": parse_actions(df, values)})
+                .select(*keep, "_v", F.explode_outer("_a").alias("_x"))
+                .where(F.col("_x.action_type").isNotNull()))
+    same = F.filter(F.col("_v"), lambda v: v["action_type"] == F.col("_x.action_type"))
+    found = _number(F.try_element_at(same, F.lit(position))["value"], strict)
+    if missing is not None:
+        found = F.coalesce(found, F.lit(missing))
+    return unfolded.select(*keep, F.col("_x.action_type").alias(kind), _number(F.col("_x.value"), strict).alias(count),
+                           found.alias(value))
 
 
 def resolve_creative(df: DataFrame) -> DataFrame:

@@ -194,7 +194,8 @@ def test_nearest_edition_equals_brute_force(spark, rows, bound):
 
 def test_edition_join_does_not_shuffle_the_fact(spark):
     cal = spark.createDataFrame([edition("2024 EXPO X", "2024-05-20", "2024-05-22")], CAL)
-    fact = spark.range(1000).select(F.lit("X").alias("event_name"), F.lit(d("2024-05-01")).alias("date"), "id")
+    fact = spark.range(1000).select(F.when(F.col("id") % 2 == 0, "X").otherwise("T").alias("event_name"),
+                                    F.date_add(F.lit(d("2024-05-01")), (F.col("id") % 9).cast("int")).alias("date"))
     text = plan(nearest_edition(fact, prepare_editions(cal, RULES)))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "NestedLoop" not in text
 

@@ -198,13 +198,13 @@ def status_a(spark, sf):
     return raw(spark, sf, "a_campaign_dim").select("campaign_id", "row_id", shown.alias("campaign_status"))
 
 
-@query(f"SELECT campaign_id, row_id, tie_price, CASE WHEN CAST(stop_time AS DATE) < {TODAY} THEN 'Completed' "
+@query(f"SELECT campaign_id, row_id, CASE WHEN CAST(stop_time AS DATE) < {TODAY} THEN 'Completed' "
        f"WHEN effective_status = 'PAUSED' THEN 'Off' WHEN effective_status = 'ACTIVE' THEN 'Active' "
        f"ELSE coalesce({initcap('effective_status')}, 'Not delivering') END AS campaign_status "
        f"FROM ({raw_sql('b_campaign_dim')})")
 def status_b(spark, sf):
     shown = status.delivery_status_b("effective_status", "stop_time", AS_OF)
-    return raw(spark, sf, "b_campaign_dim").select("campaign_id", "row_id", "tie_price", shown.alias("campaign_status"))
+    return raw(spark, sf, "b_campaign_dim").select("campaign_id", "row_id", shown.alias("campaign_status"))
 
 
 @query("""SELECT date, platform, cost, channel_type, reach FROM (

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martkit.functions import dates
+from martkit.functions.rules import first_match
 from martkit.operators import lookup, nested
 from martkit.operators.dedup import combine_dims
 from martkit.operators.editions import edition_days, label_events, match_series, nearest_edition
 from martkit.operators.nested import Field
 from martkit.operators.rollup import phrase_totals, top_phrases
 from martkit.operators.stack import stack
-from martkit.plans import calendar as calendars, gold
+from martkit.plans import calendar as calendars, gold, landing
 from martkit.plans.calendar import CalendarSpec, YearException
 from martkit.functions.status import IDLE
 from martkit.plans.silver import states_a
@@ -20,7 +21,18 @@ from . import oracle
 from .column_steps import query
 from .marts import STOP_WORDS, Models, editions
 from .oracle import SHARED, TODAY, statement, week_diff
-from .standins import AS_OF, CONTEXT, EDITION_RULES, raw, raw_sql, table
+from .standins import AS_OF, CONTEXT, EDITION_RULES, PLACEHOLDER, raw, raw_sql, table, view
+
+
+def _sql(spark, sf, statement_text):
+    """A stand-in statement in Spark."""
+    return spark.sql(PLACEHOLDER.sub(lambda m: view(spark, sf, m.group(1)), statement_text))
+
+
+def _plain(text):
+    """A stand-in statement for DuckDB."""
+    return PLACEHOLDER.sub(r"\1", text)
+
 
 # Orders as a fact: one row per order, the nation of the customer as series.
 _FACT = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, n_name AS account_name FROM orders
@@ -29,7 +41,6 @@ _NAMED = {"fact0": _FACT, "fact": f"SELECT *, {oracle.EVENT_A} AS event_name FRO
 
 
 def fact(spark, sf):
-    from martkit.functions.rules import first_match
     rows = (table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("n_name").alias("account_name")))
@@ -355,6 +366,45 @@ def audience_dim(spark, sf):
     return nested.audience_dim(rows, ["ECONOMY", "SMALL", "LARGE"], ["p_partkey"]).drop("p_partkey")
 
 
+_REPORT = """SELECT CAST(CAST(ts AS DATE) AS STRING) AS date_start, CAST(user_id % 10 AS STRING) AS account_id,
+  'Account' AS account_name, CAST(user_id AS STRING) AS campaign_id, 'Camp' AS campaign_name,
+  CAST(event_id % 7 AS STRING) AS adset_id, 'Set' AS adset_name, CAST(event_id AS STRING) AS ad_id, 'Ad' AS ad_name,
+  CASE WHEN user_id % 3 > 0 THEN CAST(event_id AS STRING) END AS impressions, CAST(event_id % 50 AS STRING) AS clicks,
+  CAST(event_id % 100 AS STRING) || '.5' AS spend, CAST(hour(ts) AS STRING) || ':00:00 - x' AS {hour},
+  '[{"action_type":"' || event_type || '","value":"' || (event_id % 7) || '"},{"action_type":"call","value":"1"}]'
+    AS actions, '[{"action_type":"' || event_type || '","value":"3"},{"action_type":"' || event_type ||
+    '","value":"' || (event_id % 9) || '.25"}]' AS action_values FROM {events}""".replace("{hour}", landing.HOUR_RANGE)
+_STATUSES = """SELECT c_custkey AS campaign_id, c_mktsegment AS effective_status FROM {customer} WHERE c_nationkey > 4"""
+_LANDED = {"rep": _plain(_REPORT), "st": _plain(_STATUSES)}
+_LAND_COLS = """CAST(date_start AS DATE) AS date, account_id, campaign_id, coalesce(effective_status, 'UNKNOWN')
+  AS campaign_status, adset_id, ad_id"""
+_LAND_JOIN = "FROM rep LEFT JOIN st ON rep.campaign_id = CAST(st.campaign_id AS VARCHAR)"
+
+
+@query(statement(_LANDED, f"""SELECT {_LAND_COLS.replace('campaign_id,', 'rep.campaign_id,', 1)},
+  CAST(split_part({landing.HOUR_RANGE}, ':', 1) AS INT) AS hour_of_day,
+  coalesce(CAST(impressions AS BIGINT), 0) AS impressions, CAST(clicks AS BIGINT) AS clicks,
+  CAST(0 AS BIGINT) AS unique_clicks, CAST(spend AS DOUBLE) AS spend, CAST(0 AS DOUBLE) AS ctr,
+  CAST(ad_id AS BIGINT) % 7 + 1.0::DOUBLE AS conversions, 3.25::DOUBLE + CAST(ad_id AS BIGINT) % 9 AS conversion_value,
+  CASE account_id WHEN '1' THEN 'USD' WHEN '2' THEN 'EUR' END AS currency {_LAND_JOIN}"""))
+def landed_hourly_report(spark, sf):
+    out = landing.land_b(_sql(spark, sf, _REPORT), "b_hourly", _sql(spark, sf, _STATUSES), {"1": "USD", "2": "EUR"})
+    return out.select("date", "account_id", "campaign_id", "campaign_status", "adset_id", "ad_id", "hour_of_day",
+                      "impressions", "clicks", "unique_clicks", "spend", "ctr", "conversions", "conversion_value",
+                      "currency")
+
+
+@query(statement(_LANDED, f"""SELECT {_LAND_COLS.replace('campaign_id,', 'rep.campaign_id,', 1)}, conversion_action,
+  CASE conversion_action WHEN 'call' THEN 1.0::DOUBLE ELSE CAST(CAST(ad_id AS BIGINT) % 7 AS DOUBLE) END AS conversions,
+  CASE conversion_action WHEN 'call' THEN 0.0::DOUBLE ELSE CAST(ad_id AS BIGINT) % 9 + 0.25::DOUBLE END
+    AS conversion_value FROM (SELECT *, json_extract_string(actions, '$[0].action_type') AS conversion_action FROM rep
+    UNION ALL SELECT *, 'call' FROM rep) rep LEFT JOIN st ON rep.campaign_id = CAST(st.campaign_id AS VARCHAR)"""))
+def landed_actions(spark, sf):
+    out = landing.land_b_actions(_sql(spark, sf, _REPORT), _sql(spark, sf, _STATUSES), "EUR")
+    return out.select("date", "account_id", "campaign_id", "campaign_status", "adset_id", "ad_id", "conversion_action",
+                      "conversions", "conversion_value")
+
+
 # Calendar -------------------------------------------------------------------
 
 _SPEC = CalendarSpec(
@@ -372,20 +422,11 @@ _RATES = """SELECT o_custkey AS id_manifestation, CAST(o_orderdate AS DATE) - 10
   CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) - 40 END AS date2 FROM {orders}"""
 
 
-def _sql(spark, sf, statement_text):
-    from .standins import _PLACEHOLDER, view
-    return spark.sql(_PLACEHOLDER.sub(lambda m: view(spark, sf, m.group(1)), statement_text))
-
-
 def _built(spark, sf):
     return calendars.build_calendar(_sql(spark, sf, _EVENTS), _sql(spark, sf, _RATES), _SPEC,
                                     raw(spark, sf, "countries"))
 
 
-def _plain(text):
-    return text.replace("{", "").replace("}", "")
-
-
 _BUILD = {
     "ev": _plain(_EVENTS), "ra": _plain(_RATES), "countries": raw_sql("countries"),
     "t": "SELECT * REPLACE (replace(replace(original_title, 'BUILDING', 'HALL'), 'HALL', 'HALL ONE') AS original_title) "

@@ -81,7 +81,7 @@ def editions_cte() -> dict[str, str]:
 
 def dim_cte(platform: str) -> dict[str, str]:
     raw, status, tie = (("a_campaign_dim", STATUS_A, TIE_A) if platform == "a"
-                        else ("b_campaign_dim", STATUS_B, TIE_B))
+                        else ("b_campaign_dim", STATUS_B, TIE_A))
     return {f"dim_raw_{platform}": raw_sql(raw),
             f"dim_{platform}": f"SELECT campaign_id AS dim_id, {status} AS dim_status "
                                f"FROM ({newest(f'dim_raw_{platform}', ['campaign_id'], tie)})"}

@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from martkit.functions.rules import Keep, Rule
 from martkit.operators.editions import EditionRule
 from martkit.plans.context import Context, ConversionRules
+from martkit.sources.tables import spread_scan
 
 AS_OF = date(1999, 6, 30)
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages",
           "conversations")
+FACTS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id"}
 TIES = ("row_id", "tie_price", "tie_qty", "tie_tax")
 
 # A day's report is delivered once, and again for open orders a day later.
@@ -134,12 +136,14 @@ RAW: dict[str, str] = {
   CAST(d.n_chars AS DOUBLE) / 4 AS conversions_value, 'EUR' AS currency,
   CAST(CAST('1998-01-01' AS DATE) + CAST(d.doc_id % 700 AS INT) AS TIMESTAMP) AS _ingested_at, d.doc_id AS row_id
   FROM {documents} d""",
-    "a_campaign_dim": """SELECT CAST(o_custkey AS STRING) AS campaign_id,
-  CASE o_orderstatus WHEN 'F' THEN 'PAUSED' WHEN 'P' THEN 'ENABLED' ELSE 'REMOVED' END AS status,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'SERVING' WHEN '2-HIGH' THEN 'ENDED' WHEN '3-MEDIUM' THEN 'NOT_ELIGIBLE'
-    WHEN '5-LOW' THEN 'SERVING' END AS serving_status,
-  CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderdate AS DATE) + 400 END AS end_date,
-  CAST(o_orderdate AS TIMESTAMP) AS _ingested_at, o_orderkey AS row_id FROM {orders} WHERE o_totalprice > 100000""",
+    "a_campaign_dim": """SELECT CAST(c_custkey AS STRING) AS campaign_id,
+  CASE (c_custkey + pass) % 3 WHEN 0 THEN 'PAUSED' WHEN 1 THEN 'ENABLED' ELSE 'REMOVED' END AS status,
+  CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'SERVING' WHEN 'FURNITURE' THEN 'ENDED' WHEN 'MACHINERY' THEN 'NOT_ELIGIBLE'
+    WHEN 'BUILDING' THEN 'SERVING' END AS serving_status,
+  CASE WHEN c_custkey % 4 > 0 THEN CAST('1999-01-01' AS DATE) + CAST(c_custkey % 400 AS INT) END AS end_date,
+  CAST(CAST('1998-01-01' AS DATE) + pass AS TIMESTAMP) AS _ingested_at, c_custkey * 2 + pass AS row_id
+  FROM (SELECT *, 0 AS pass FROM {customer} UNION ALL SELECT *, 1 AS pass FROM {customer} WHERE c_acctbal > 2000) c
+  WHERE c_nationkey <> 3""",
     "b_performance": _b(),
     "b_conversion_action": _b("""CASE l.l_returnflag WHEN 'A' THEN 'site.purchase' WHEN 'R' THEN 'Lead_Form'
     ELSE 'site.PAGE_VIEW' END AS conversion_action"""),
@@ -148,11 +152,12 @@ RAW: dict[str, str] = {
     "b_region": _b("""'C' || s.s_nationkey AS country,
   CASE l.l_linenumber WHEN 1 THEN '' WHEN 2 THEN NULL ELSE r.r_name END AS region"""),
     "b_events": "SELECT" + _E,
-    "b_campaign_dim": """SELECT CAST(l_suppkey AS STRING) AS campaign_id,
-  CASE l_returnflag WHEN 'A' THEN 'ACTIVE' WHEN 'R' THEN 'PAUSED' ELSE 'PENDING_REVIEW' END AS effective_status,
-  CASE WHEN l_linenumber > 2 THEN CAST(CAST(l_shipdate AS DATE) + 200 AS TIMESTAMP) END AS stop_time,
-  CAST(l_shipdate AS TIMESTAMP) AS _ingested_at, l_orderkey * 10 + l_linenumber AS row_id,
-  l_extendedprice AS tie_price, l_quantity AS tie_qty, l_discount * 1000 + l_tax AS tie_tax FROM {lineitem}""",
+    "b_campaign_dim": """SELECT CAST(s_suppkey AS STRING) AS campaign_id,
+  CASE (s_suppkey + pass) % 3 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'PAUSED' ELSE 'PENDING_REVIEW' END AS effective_status,
+  CASE WHEN s_suppkey % 4 > 0 THEN CAST(CAST('1999-01-01' AS DATE) + CAST(s_suppkey % 400 AS INT) AS TIMESTAMP) END
+    AS stop_time, CAST(CAST('1998-01-01' AS DATE) + pass AS TIMESTAMP) AS _ingested_at, s_suppkey * 2 + pass AS row_id
+  FROM (SELECT *, 0 AS pass FROM {supplier} UNION ALL SELECT *, 1 AS pass FROM {supplier} WHERE s_acctbal > 2000) s
+  WHERE s_nationkey <> 3""",
     "b_ad_dim": """SELECT CAST(p_partkey AS STRING) AS ad_id, CAST(p_partkey % 700 AS STRING) AS creative_id,
   CAST(CAST('1998-01-01' AS DATE) + p_size AS TIMESTAMP) AS _ingested_at, p_partkey AS row_id FROM {part}
   WHERE p_size > 3""",
@@ -241,7 +246,7 @@ CONTEXT = Context(
     geo_conversions_a=GEO_CONVERSIONS_A, geo_conversions_b=GEO_CONVERSIONS_B,
     geo_keep={"A": Keep(drop=("OTHER",)), "B": Keep(only=("PURCHASE", "SIGNUP", "CONTACT"))}, tie=TIES)
 
-_PLACEHOLDER = re.compile(r"\{(\w+)\}")
+PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -252,15 +257,16 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Temporary view of a driver table, one name per scale directory."""
     alias = f"t_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}_{name}"
     if not spark.catalog.tableExists(alias):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(alias)
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        (spread_scan(df, FACTS[name]) if name in FACTS else df).createOrReplaceTempView(alias)
     return alias
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Stand-in raw table in Spark."""
-    return spark.sql(_PLACEHOLDER.sub(lambda m: view(spark, sf_dir, m.group(1)), RAW[name]))
+    return spark.sql(PLACEHOLDER.sub(lambda m: view(spark, sf_dir, m.group(1)), RAW[name]))
 
 
 def raw_sql(name: str) -> str:
     """The same stand-in for DuckDB."""
-    return _PLACEHOLDER.sub(r"\1", RAW[name]).replace("`", '"')
+    return PLACEHOLDER.sub(r"\1", RAW[name]).replace("`", '"')
