@@ -193,7 +193,8 @@ def word_stats(source: DataFrame, stop_words: Sequence[str], min_length: int = 3
     """
     short = source.select("*", shorten("raw_text", width).alias("clean_phrase"),
                           tokens("raw_text", min_length, stop_words).alias("_words")).drop("raw_text")
-    words = short.withColumn("word", F.explode("_words")).drop("_words")
+    # The inner form would make Spark tokenise twice, to filter out empty lists first.
+    words = short.withColumn("word", F.explode_outer("_words")).drop("_words").where(F.col("word").isNotNull())
     return rollup(words, WORD_KEYS, [*SUMMED, "conversions", "conversion_value"])
 
 
