@@ -133,7 +133,10 @@ def with_default(df: DataFrame, side: DataFrame, on: Sequence[str], defaults: di
 
 
 def pacing(spend: DataFrame, budgets: DataFrame, key: str = "adset_id", bound: Bound = DEFAULT_BOUND) -> DataFrame:
-    """Spend rows with budget caps in units and the ad set status."""
+    """Spend rows with budget caps in units and the ad set status.
+
+    ``budgets`` is a snapshot with one row per ad set, caps in cents.
+    """
     caps = budgets.select(
         key,
         (F.coalesce(F.col("daily_budget").try_cast("double"), F.lit(0.0)) / 100.0).alias("daily_budget_cap"),

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import d, ts
-from martkit.functions.rules import Rule
 from martkit.operators import lookup, nested
 from martkit.operators.dedup import combine_dims, exclude, latest, recent
 from martkit.operators.editions import EditionRule, edition_days, label_events, match_series, nearest_edition
@@ -312,7 +311,3 @@ def test_audience_allow_list(spark, rows):
     df = spark.createDataFrame([("1", "A", "g2"), ("1", "A", "g1"), ("2", "Z", "g1")],
                                "audience_criterion_id string, audience_type string, ad_group_id string")
     assert rows(nested.audience_dim(df, ["A"], ["ad_group_id"])) == [("1", "A", "g1")]
-
-
-def test_rule_values_follow_fold():
-    assert Rule("x", contains=("a",), fold="upper").fold == "upper"

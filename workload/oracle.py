@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from .standins import AS_OF, CAMPAIGN_RULES, RAW, raw_sql
+from .standins import AS_OF, CAMPAIGN_RULES, raw_sql
 
 TODAY = f"DATE '{AS_OF}'"
 LABELS = ["event_edition", "cut_off_rate", "cut_off_rate_sort_order", "week", "week_number", "week_number_to_sort",
@@ -23,7 +23,6 @@ EVENT_A = ("CASE WHEN account_name = 'NATION_0' THEN 'HOME' WHEN account_name LI
 EVENT_B = "CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(upper(campaign_name), '{k.upper()}')" for k in r.contains) + f" THEN '{r.label}'"
     for r in CAMPAIGN_RULES) + " ELSE 'Other/Unmapped' END"
-CPC = "CAST(spend AS DOUBLE)"
 
 
 def week_diff(end: str, start: str) -> str:
