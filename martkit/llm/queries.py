@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .common import read
+from . import bpe, mixing, quality, sharding
+from .common import n_blank_words, read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,5 +23,30 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op10_bpe": op10_bpe}
+SHARDS = 8
+
+
+def op1_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight equal shards, by doc_id."""
+    text = F.coalesce("text", F.lit(""))
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"), sharding.rendezvous(F.col("doc_id"), [1.0] * SHARDS).alias("shard"),
+        sharding.rendezvous(F.col("doc_id"), [1.0] * (SHARDS + 1)).alias("grown_shard"))
+    return sharding.slots(rows, "shard", ["doc_id", "size", "text_crc32"])
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every whole text."""
+    return quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, mixed 5 : 2 : 1 to 150% of their words."""
+    rows = read(spark, sf_dir, "documents").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", n_blank_words(F.col("text")).alias("size"))
+    return mixing.mix(rows).drop("row", "source")
+
+
+QUERIES = {"op1_rendezvous": op1_rendezvous, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
