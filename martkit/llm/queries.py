@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding
+from . import bpe, mixing, quality, sharding, simhash
 from .common import n_blank_words, read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +36,14 @@ def op1_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.slots(rows, "shard", ["doc_id", "size", "text_crc32"])
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 64-bit fingerprints of 4-word shingles differ in at most 4 bits."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = simhash.near_groups(docs, radius=4, width=4)
+    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "component").select("doc_id", "fingerprint", "component_id")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every whole text."""
     return quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -48,5 +56,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).drop("row", "source")
 
 
-QUERIES = {"op1_rendezvous": op1_rendezvous, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
+QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
