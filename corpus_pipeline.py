@@ -1,10 +1,86 @@
-"""From raw documents to token ids."""
+"""From raw documents to token ids: toxicity, quality, near-duplicates, source mix, BPE.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept. `docs` must be a table that
+reads the same each time, such as Parquet files: rows are numbered by their place in it. Stages 1 to 4 return the columns
+of their input. Columns of any name may ride along; columns doc_id, text, source and n_chars are used.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martkit.llm import bpe, mixing, quality, simhash, toxicity
+from martkit.llm.common import blank_words, n_blank_words, read, shared_dir
+from martkit.llm.queries import VOCABULARY
+
+SIMILARITY, SHINGLE, BITS = 0.8, 5, 128
+ORACLE_SQL = None  # trained weights, fingerprints and merges are tested against brute force
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score accepts; the machine is fitted on the labelled ones among them."""
+    machine = spark.sparkContext.broadcast(toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return docs.where(toxicity.score(F.col("text"), machine) < 0.5)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    rows = docs.select(F.struct("*").alias("_row"), "text")
+    return quality.judge(rows).where("kept").select("_row.*")
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Documents are linked if at least 80% of their 128 SimHash bits over 5-word shingles agree; a group is all that can be
+    reached over links. Of 128 bits, unrelated texts share so many once in 10^11 pairs.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    radius = int(BITS * (1 - SIMILARITY) + 1e-9)
+    groups = simhash.near_groups(rows.select("_row", "doc_id", "text"), radius, SHINGLE, BITS)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
+    kept = groups.groupBy("component").agg(first.alias("_row")).select("_row")
+    return rows.join(kept, "_row", "left_semi").drop("_row")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed 5 : 2 : 1 to 150% of all words: a document comes once per turn that takes it.
+
+    A turn that takes part of a document, one per source, has its first words, joined by spaces.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    sizes = rows.select(F.col("_row").alias("row"), "doc_id", "source", n_blank_words(F.col("text")).alias("size"))
+    taken = mixing.mix(sizes).where("taken > 0").select(
+        F.col("row").alias("_row"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    turns = F.array(F.least("_size", "_taken"), F.col("_taken") - F.least("_size", "_taken"))
+    each = rows.join(taken, "_row").withColumn("_part", F.explode(turns)).where("_part > 0")
+    part = F.array_join(F.slice(blank_words(F.col("text")), F.lit(1), F.col("_part").cast("int")), " ")
+    text = F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(part)
+    out = each.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text that they decode to."""
+    vocab = bpe.vocabulary(spark, VOCABULARY)
+    ids = docs.select("doc_id", "source", bpe.encode(F.col("text"), vocab).alias("ids"))
+    return ids.withColumn("decoded", bpe.decode(F.col("ids"), vocab)).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [("toxicity", clean), ("quality", good), ("near_duplicates", distinct), ("mix", mixed), ("bpe", tokens)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table documents; each result is written to the shared folder and read again."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
 
+    def step(docs: DataFrame, stage: tuple) -> DataFrame:
+        name, function = stage
+        function(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+    return reduce(step, STAGES, read(spark, sf_dir, "documents"))

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from .common import BLANKS, blank_words
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 @dataclass(frozen=True)
 class Rule:
     """A rule rejects documents for which `reject` holds; `reject` may use the columns of `measured`."""
@@ -33,7 +36,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     twice sort (hash, position) to mark the words that such windows cover.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("_words", blank_words(F.col(text))).withColumn("n_words", F.size("_words").cast("long"))
+    rows = docs.withColumn("_words", blank_words(F.col(text)))
     windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
     rows = rows.withColumn("_hash", F.slice(windows, F.lit(1), F.greatest(F.size("_words") - 2, F.lit(0))))
     rows = rows.withColumn("_sorted", F.when(
@@ -45,12 +48,15 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.array_distinct(F.concat("_at", F.transform("_at", lambda i: i + 1), F.transform("_at", lambda i: i + 2)))
     lines = F.filter(F.split(body, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     rows = rows.withColumn("_lines", lines)
-    return (rows.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-            .withColumn("n_symbols", F.regexp_count(body, F.lit("[#*$%&|<>]")).cast("long"))
-            .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-            .withColumn("n_repeat_words", F.coalesce(F.when(F.col("_sorted").isNotNull(), F.size(covered)), F.lit(0))
-                        .cast("long"))
-            .drop("_words", "_hash", "_sorted", "_at", "_lines"))
+    counts = F.struct(
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(body, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.coalesce(F.when(F.col("_sorted").isNotNull(), F.size(covered)), F.lit(0)).cast("long").alias("n_repeat_words"))
+    # the generator keeps filters on the counts from being moved below, where they would repeat the work for each use
+    rows = rows.withColumn("_counts", F.explode(F.array(counts)))
+    return rows.select(*[c for c in docs.columns if c not in MEASURES], *[F.col(f"_counts.{c}") for c in MEASURES])
 
 
 def base_failed() -> Column:
