@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, simhash, toxicity
+from . import bpe, mixing, parsing, quality, sharding, simhash, toxicity
 from .common import n_blank_words, read
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(least, "component").select("doc_id", "fingerprint", "component_id")
 
 
+def op4_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edits."""
+    return parsing.compare_with_next(read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,5 +68,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).drop("row", "source")
 
 
-QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
+QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
