@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, parsing, quality, sharding, simhash, toxicity
-from .common import n_blank_words, read
+from . import bpe, mixing, parsing, quality, sharding, simhash, toxicity, warc
+from .common import n_blank_words, read, shared_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +63,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives in the shared folder, and read back."""
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(read(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).drop("url")
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, mixed 5 : 2 : 1 to 150% of their words."""
     rows = read(spark, sf_dir, "documents").select(
@@ -68,5 +77,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).drop("row", "source")
 
 
-QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
+QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op8_warc": op8_warc, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
