@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, parsing, quality, sharding, simhash, toxicity, warc
+from . import bpe, licenses, mixing, parsing, quality, sharding, simhash, toxicity, urls, warc
 from .common import n_blank_words, read, shared_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(least, "component").select("doc_id", "fingerprint", "component_id")
 
 
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url; a labelled url is one whose number in the path is a labelled document."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    labels = read(spark, sf_dir, "labels")
+    marks = labels.select(F.col("doc_id").alias("_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    number = F.regexp_extract(urls.parts(F.col("url"))[1], r"/([0-9]{1,18})(?:/|\.|$)", 1)
+    known = pages.withColumn("_id", F.when(number != "", number).cast("long")).join(marks, "_id")
+    rows = urls.judge(pages, known.select("url", "blocked"), URL_RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict", "confidence")
+
+
 def op4_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edits."""
     return parsing.compare_with_next(read(spark, sf_dir, "documents"))
@@ -63,6 +77,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every whole text."""
+    return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives in the shared folder, and read back."""
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -77,5 +96,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).drop("row", "source")
 
 
-QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op8_warc": op8_warc, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
+QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op3_urls": op3_urls, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op7_licenses": op7_licenses, "op8_warc": op8_warc, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
 ORACLES: dict[str, str] = {}
