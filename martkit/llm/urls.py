@@ -1,6 +1,6 @@
 """URL filters from association rules.
 
-Urls are sets of tokens: host labels, path segments, file endings and parameter names, digits left out. Spark's FP-growth
+Urls are sets of tokens: parts of the host between dots and hyphens, path segments, file endings and parameter names, digits left out. Spark's FP-growth
 mines the sets of labelled urls together with their label; combinations that imply "block" with enough confidence and
 support become rules. A rule is indexed under its rarest token; a token set looks up its tokens and is blocked if it
 holds all tokens of a rule. Written rules for hosts come first, the longest that fits wins.
@@ -52,7 +52,7 @@ def tokens(host: Column, path: Column, more: Column) -> Column:
     names = F.transform(F.split(query, "&"), lambda v: F.substring_index(v, "=", 1))
     folders = F.split(F.regexp_replace(path, r"\.([A-Za-z]+)$", ""), "/")
     ending = F.array(F.regexp_extract(path, r"\.([A-Za-z]+)$", 1))
-    every = F.concat(kind("host:", F.split(host, r"\.")), kind("path:", folders), kind("end:", ending), kind("name:", names))
+    every = F.concat(kind("host:", F.split(host, r"[.-]")), kind("path:", folders), kind("end:", ending), kind("name:", names))
     return F.array_sort(F.array_distinct(every))
 
 
