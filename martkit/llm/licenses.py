@@ -1,7 +1,7 @@
 """Licence scans by a positional index of rare words.
 
-The index holds, for the rarest words of each licence template, the template and the word's place in it; rarity is the
-document frequency over all files. In a file, the occurrences of such words vote for (template, start): votes of different
+The index holds, for the rarest words of each licence template's key phrase, the template and the word's place in it;
+rarity is the document frequency over all files. As the phrase is mandatory, no place is missed for want of votes. In a file, the occurrences of such words vote for (template, start): votes of different
 words for one start agree on their relative positions. A start with enough votes is verified: the template's key phrase
 must stand in its place. The score is the share of a verified template's words that stand in their places.
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RARE, VOTES = 3, 2  #: rare words per template, votes that a start needs (fewer if the template has fewer)
+RARE, VOTES = 3, 2  #: rare words per key phrase, votes that a start needs (fewer if the phrase has fewer)
 SHIFT, MIDDLE = 1 << 40, 1 << 39
 
 
@@ -87,7 +87,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
     postings: dict[str, list[tuple[int, int]]] = {}
     need = []
     for number, t in enumerate(templates):
-        rare = sorted(set(t.words), key=lambda w: (-idf[w], w))[:RARE]
+        rare = sorted(set(t.key.split()), key=lambda w: (-idf[w], w))[:RARE]
         need.append(min(VOTES, len(rare)))
         for place, w in enumerate(t.words):
             if w in rare:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, parsing, quality, sharding, simhash, toxicity, urls, warc
+from . import bpe, licenses, mixing, oracles, parsing, quality, sharding, simhash, toxicity, urls, warc
 from .common import n_blank_words, read, shared_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -97,4 +97,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op3_urls": op3_urls, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op7_licenses": op7_licenses, "op8_warc": op8_warc, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_rendezvous": oracles.OP1, "op3_urls": oracles.op3(URL_RULES), "op6_quality": oracles.OP6,
+           "op7_licenses": oracles.op7(), "op8_warc": oracles.OP8, "op9_mix": oracles.OP9}

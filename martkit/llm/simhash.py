@@ -221,6 +221,6 @@ def near_groups(docs: DataFrame, radius: int, width: int, bits: int = 64, text:
     """Adds fingerprint and component, the smallest fingerprint reachable over links, to narrow columns of docs."""
     ship(docs.sparkSession)
     rows = cut(docs.withColumn("fingerprint", fingerprint(F.col(text), width, bits)).drop(text))
-    tree = components(linked(rows.select("fingerprint").distinct(), radius))
-    joined = rows.join(tree, rows["fingerprint"] == tree["node"], "left").drop("node")
-    return joined.withColumn("component", F.coalesce("root", "fingerprint")).drop("root")
+    tree = components(linked(rows.select("fingerprint").distinct(), radius)).toDF("_node", "_root")
+    joined = rows.join(tree, rows["fingerprint"] == tree["_node"], "left")
+    return joined.withColumn("component", F.coalesce("_root", "fingerprint")).drop("_node", "_root")
