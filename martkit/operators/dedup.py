@@ -23,12 +23,16 @@ def top_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str | Column = "_ingested_at",
-           tie: Sequence[str] = ()) -> DataFrame:
+           tie: Sequence[str] | None = None) -> DataFrame:
     """Newest row per key; ``tie`` columns (descending) settle equal stamps.
 
-    Without ``tie`` rows with equal stamps are interchangeable to the caller.
+    By default all remaining columns do, so that a task that runs again picks
+    the same row.
     """
-    return top_one(df, keys, [as_col(order).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in tie]])
+    if tie is None:
+        used = {*keys, order} if isinstance(order, str) else {*keys}
+        tie = [f.name for f in df.schema if f.name not in used and "map<" not in f.dataType.simpleString()]
+    return top_one(df, keys, [as_col(order).desc_nulls_last(), *[F.col(f"`{t}`").desc_nulls_last() for t in tie]])
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

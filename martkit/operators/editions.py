@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dates
-from .lookup import DEFAULT_BOUND, Bound, fits, lookup, measure
+from .lookup import DEFAULT_BOUND, Bound, lookup, measure
 
 # Edition columns carried to the fact, in comparison order after the distance.
 CARRIED = ("event_start_date", "conference_editions", "event_end_date", "seb_end_date", "eb_end_date",
@@ -41,7 +41,6 @@ class Editions:
 
     days: DataFrame
     small: bool
-    bound: Bound = DEFAULT_BOUND
 
 
 def match_series(calendar: DataFrame, rules: Sequence[EditionRule], edition: str = "conference_editions") -> DataFrame:
@@ -77,14 +76,13 @@ def prepare_editions(calendar: DataFrame, rules: Sequence[EditionRule], window_d
     days = edition_days(matched, window_days)
     rows, size = measure(matched)
     factor = window_days + 1
-    small = (rows * factor <= bound.max_rows and size * factor <= bound.max_bytes) or fits(days, bound)
-    return Editions(days, small, bound)
+    return Editions(days, rows * factor <= bound.max_rows and size * factor <= bound.max_bytes)
 
 
 def nearest_edition(fact: DataFrame, editions: Editions, series: str = "event_name", day: str = "date") -> DataFrame:
     """Fact with the columns of its nearest edition; unmatched rows keep NULLs."""
     days = editions.days.withColumnsRenamed({"series": series, "date": day})
-    return lookup(fact, days, [series, day], small=editions.small, bound=editions.bound)
+    return lookup(fact, days, [series, day], small=editions.small)
 
 
 def label_events(fact: DataFrame, editions: Editions, as_of: date, series: str = "event_name",

@@ -1,9 +1,10 @@
 """Joins of a large fact with a smaller side.
 
-A side is broadcast only after its rows and bytes were counted. Past the bound
-the join shuffles with a salted key: the small side is repeated once per salt
-and the fact spreads each key over the salts, so one hot key is never one task.
-The salt is a hash of the row, hence the same when a lost task is re-run.
+Building a plan starts no job for a derived side: Catalyst broadcasts by file
+statistics, adaptive execution by the size of the shuffle it has just written,
+and its skew handling splits a hot key's rows of the fact. A caller that has
+counted a side once may ask for the broadcast. Sides of left lookups are cut to
+one row per key, so the fact keeps its rows.
 """
 
 from __future__ import annotations
@@ -20,11 +21,10 @@ from .dedup import latest
 
 @dataclass(frozen=True)
 class Bound:
-    """Largest side that may be broadcast, and the salts used beyond it."""
+    """Largest counted side that is broadcast."""
 
     max_rows: int = 500_000
     max_bytes: int = 64 << 20
-    salts: int = 16
 
 
 DEFAULT_BOUND = Bound()
@@ -53,31 +53,23 @@ def fits(df: DataFrame, bound: Bound = DEFAULT_BOUND) -> bool:
     return rows <= bound.max_rows and size <= bound.max_bytes
 
 
-def spread(df: DataFrame, salts: int) -> Column:
-    """Repeatable salt of a row in ``[0, salts)``."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, MapType)]
-    return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
-
-
-def lookup(fact: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left",
-           small: bool | None = None, bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def lookup(fact: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", small: bool = False) -> DataFrame:
     """Join ``fact`` with ``side`` on equal column names.
 
     ``how`` is left, inner, left_anti or left_semi. ``small`` carries the
-    answer of an earlier size check; None checks now.
+    answer of a size check; without one the join is left to statistics.
     """
-    on = list(on)
-    if small is None:
-        small = fits(side, bound)
-    if small:
-        return fact.join(F.broadcast(side), on, how)
-    salt = "_salt"
-    salted = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(bound.salts - 1))))
-    return fact.withColumn(salt, spread(fact, bound.salts)).join(salted, [*on, salt], how).drop(salt)
-
-
-def exclude_keys(df: DataFrame, keys: DataFrame, column: str, null_aware: bool = False,
-                 bound: Bound = DEFAULT_BOUND) -> DataFrame:
+    return fact.join(F.broadcast(side) if small else side, list(on), how)
+
+
+def one_per_key(side: DataFrame, on: Sequence[str], order: str = "_ingested_at") -> DataFrame:
+    """The newest row of every key; equal stamps, or a side without one, go by the remaining columns, largest first."""
+    rest = [f.name for f in side.schema if f.name not in (*on, order) and not isinstance(f.dataType, MapType)]
+    by = [c for c in (order, *rest) if c in side.columns] or list(on)
+    return latest(side, list(on), by[0], by[1:])
+
+
+def exclude_keys(df: DataFrame, keys: DataFrame, column: str, null_aware: bool = False) -> DataFrame:
     """Rows whose ``column`` is not among ``keys[column]``.
 
     By default NULL keys are ignored and NULL rows stay. ``null_aware`` follows
@@ -90,7 +82,7 @@ def exclude_keys(df: DataFrame, keys: DataFrame, column: str, null_aware: bool =
             return df.where(F.lit(False))
         if wanted.limit(1).count():
             df = df.where(F.col(column).isNotNull())
-    return lookup(df, wanted.where(F.col(column).isNotNull()).distinct(), [column], "left_anti", bound=bound)
+    return lookup(df, wanted.where(F.col(column).isNotNull()).distinct(), [column], "left_anti")
 
 
 def missing_ids(needed: DataFrame, found: DataFrame, column: str) -> DataFrame:
@@ -106,49 +98,50 @@ def fill_gaps(found: DataFrame, fetched: DataFrame, column: str) -> DataFrame:
 
 
 def with_geo(df: DataFrame, targets: DataFrame, id_cols: Sequence[str], unknown: str = "Unknown",
-             bound: Bound = DEFAULT_BOUND) -> DataFrame:
+             order: str = "_ingested_at") -> DataFrame:
     """Names of the first non-NULL geo id; ``unknown`` where it misses."""
     key = "_geo_key"
     names = {"region_name": "Name", "canonical_name": "Canonical Name",
              "country_code": "Country Code", "geo_target_type": "Target Type"}
-    side = targets.select(F.col("`Criteria ID`").cast("string").alias(key),
+    side = targets.select(F.col("`Criteria ID`").cast("string").alias(key), *[c for c in [order] if c in targets.columns],
                           *[F.col(f"`{src}`").alias(dst) for dst, src in names.items()])
     keyed = df.withColumn(key, F.coalesce(*[F.col(c).cast("string") for c in id_cols]))
-    joined = lookup(keyed, side.where(F.col(key).isNotNull()), [key], bound=bound).drop(key)
+    side = one_per_key(side.where(F.col(key).isNotNull()), [key], order).select(key, *names)
+    joined = lookup(keyed, side, [key]).drop(key)
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(unknown)) for c in names})
 
 
-def with_country(df: DataFrame, countries: DataFrame, code: str = "country_code", name: str = "country_name",
-                 bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def with_country(df: DataFrame, countries: DataFrame, code: str = "country_code",
+                 name: str = "country_name") -> DataFrame:
     """Country name, falling back to the code itself."""
     side = countries.select(F.col("country_code").alias(code), F.col("country_name").alias(name))
-    return lookup(df, side, [code], bound=bound).withColumn(name, F.coalesce(name, code))
+    return lookup(df, one_per_key(side, [code]), [code]).withColumn(name, F.coalesce(name, code))
 
 
 def with_default(df: DataFrame, side: DataFrame, on: Sequence[str], defaults: dict[str, object],
-                 bound: Bound = DEFAULT_BOUND) -> DataFrame:
+                 order: str = "_ingested_at") -> DataFrame:
     """Left lookup whose misses take a default per column."""
-    joined = lookup(df, side.select(*on, *defaults), on, bound=bound)
+    kept = one_per_key(side.select(*on, *defaults, *[c for c in [order] if c in side.columns and c not in defaults]), on, order)
+    joined = lookup(df, kept.select(*on, *defaults), on)
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def pacing(spend: DataFrame, budgets: DataFrame, key: str = "adset_id", bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def pacing(spend: DataFrame, budgets: DataFrame, key: str = "adset_id", order: str = "_ingested_at") -> DataFrame:
     """Spend rows with budget caps in units and the ad set status.
 
-    ``budgets`` is a snapshot with one row per ad set, caps in cents.
+    ``budgets`` has caps in cents; the newest row of an ad set counts.
     """
     caps = budgets.select(
-        key,
+        key, *[c for c in [order] if c in budgets.columns],
         (F.coalesce(F.col("daily_budget").try_cast("double"), F.lit(0.0)) / 100.0).alias("daily_budget_cap"),
         (F.coalesce(F.col("lifetime_budget").try_cast("double"), F.lit(0.0)) / 100.0).alias("lifetime_budget_cap"),
         F.col("status").alias("adset_status"))
     return with_default(spend, caps, [key], {"daily_budget_cap": 0.0, "lifetime_budget_cap": 0.0,
-                                             "adset_status": "UNKNOWN"}, bound)
+                                             "adset_status": "UNKNOWN"}, order)
 
 
 def with_creative(ads: DataFrame, bridge: DataFrame, creatives: DataFrame, columns: Sequence[str],
-                  order: str | Column = "_ingested_at", tie: Sequence[str] = (), fan_out: bool = False,
-                  bound: Bound = DEFAULT_BOUND) -> DataFrame:
+                  order: str | Column = "_ingested_at", tie: Sequence[str] | None = None, fan_out: bool = False) -> DataFrame:
     """Ad -> creative through the bridge.
 
     One bridge row per ad and one creative row per id, so the fact keeps its
@@ -164,10 +157,10 @@ def with_creative(ads: DataFrame, bridge: DataFrame, creatives: DataFrame, colum
         pairs = latest(pairs, ["ad_id"], "_o", ["creative_id"]).drop("_o")
         looks = latest(looks, ["creative_id"], order, tie).select("creative_id", *columns)
     pairs = pairs.where(F.col("ad_id").isNotNull())
-    linked = lookup(pairs, looks, ["creative_id"], bound=bound).drop("creative_id")
+    linked = lookup(pairs, looks, ["creative_id"]).drop("creative_id")
     if fan_out:
         linked = linked.distinct()
-    return lookup(ads, linked, ["ad_id"], bound=bound)
+    return lookup(ads, linked, ["ad_id"])
 
 
 def campaign_states(dim: DataFrame, status: Column, tie: Sequence[str] = ()) -> DataFrame:
@@ -176,11 +169,11 @@ def campaign_states(dim: DataFrame, status: Column, tie: Sequence[str] = ()) ->
     The status is computed here, once per campaign, not once per fact row.
     """
     keyed = dim.withColumn("campaign_id", F.col("campaign_id").cast("string"))
-    newest = latest(keyed, ["campaign_id"], tie=[t for t in tie if t in dim.columns])
+    newest = latest(keyed, ["campaign_id"], tie=[t for t in tie if t in dim.columns] or None)
     return newest.where(F.col("campaign_id").isNotNull()).select("campaign_id", status.alias("campaign_status"))
 
 
-def with_status(fact: DataFrame, states: DataFrame, idle: str, bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def with_status(fact: DataFrame, states: DataFrame, idle: str) -> DataFrame:
     """Fact with the status of its campaign, ``idle`` where the dim misses."""
-    joined = lookup(fact.drop("campaign_status"), states, ["campaign_id"], bound=bound)
+    joined = lookup(fact.drop("campaign_status"), states, ["campaign_id"])
     return joined.withColumn("campaign_status", F.coalesce("campaign_status", F.lit(idle)))

@@ -28,15 +28,19 @@ def phrase_totals(stats: DataFrame, keys: Sequence[str], measure: str, total: st
 
 
 def top_phrases(totals: DataFrame, keys: Sequence[str], phrase: str, total: str, k: int, out: str,
-                separator: str = "\n") -> DataFrame:
+                separator: str = "\n", texts: DataFrame | None = None, text: str | None = None) -> DataFrame:
     """The ``k`` largest phrases per key as one ordered text.
 
+    ``texts`` gives the chosen phrases their ``text`` where ``phrase`` is a key.
+
     Ranked first: the window limits each map task to ``k`` rows per key, and
     the list that is collected afterwards holds at most ``k`` entries.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(total).desc_nulls_last(), F.col(phrase).asc_nulls_last())
     ranked = totals.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
-    entry = F.struct("_rank", F.concat(F.col(phrase), F.lit(" ("), F.col(total).cast("string"), F.lit(")")).alias("t"))
+    if texts is not None:
+        ranked = ranked.join(texts, phrase, "left")
+    entry = F.struct("_rank", F.concat(F.col(text or phrase), F.lit(" ("), F.col(total).cast("string"), F.lit(")")).alias("t"))
     listed = F.array_sort(F.collect_list(entry))
     return (ranked.groupBy(*keys).agg(listed.alias("_list"))
             .withColumn(out, F.array_join(F.transform("_list", lambda x: x["t"]), separator)).drop("_list"))

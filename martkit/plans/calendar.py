@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.casts import safe_date
 from ..functions.rules import recode
 from ..functions.text import replace_in_order
-from ..operators.lookup import DEFAULT_BOUND, Bound, lookup
+from ..operators.lookup import lookup, one_per_key
 from ..operators.stack import stack
 
 CALENDAR: tuple[tuple[str, str], ...] = (
@@ -47,8 +47,7 @@ class CalendarSpec:
     country_code_series: tuple[str, ...] = ()
 
 
-def clean_events(events: DataFrame, spec: CalendarSpec, countries: DataFrame | None = None,
-                 bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def clean_events(events: DataFrame, spec: CalendarSpec, countries: DataFrame | None = None) -> DataFrame:
     """Titles to (year, series, edition), filtered by the lists of ``spec``."""
     title, series, year = F.col("original_title"), F.col("conference_series"), F.col("year")
     df = events.withColumn("original_title", replace_in_order("original_title", spec.replacements))
@@ -73,7 +72,7 @@ def clean_events(events: DataFrame, spec: CalendarSpec, countries: DataFrame | N
     if spec.country_code_series:
         # The code is appended even when it is unknown, leaving a blank.
         names = countries.select(F.col("country_name").alias("host_nation"), F.col("country_code").alias("_code"))
-        df = lookup(df, names, ["host_nation"], bound=bound)
+        df = lookup(df, one_per_key(names, ["host_nation"]), ["host_nation"])
         suffix = F.concat(F.lit(" "), F.coalesce("_code", F.lit("")))
         edition = F.when(series.isin(list(spec.country_code_series)), F.concat(edition, suffix)).otherwise(edition)
     return df.withColumn("conference_editions", edition).select(
@@ -87,10 +86,9 @@ def rate_bounds(rates: DataFrame) -> DataFrame:
         F.max("date1").alias("eb_start_date"), F.max("date2").alias("eb_end_date"))
 
 
-def build_calendar(events: DataFrame, rates: DataFrame, spec: CalendarSpec, countries: DataFrame | None = None,
-                   bound: Bound = DEFAULT_BOUND) -> DataFrame:
+def build_calendar(events: DataFrame, rates: DataFrame, spec: CalendarSpec, countries: DataFrame | None = None) -> DataFrame:
     """Events with rates to one row per edition."""
-    cleaned = clean_events(events, spec, countries, bound)
+    cleaned = clean_events(events, spec, countries)
     joined = rate_bounds(rates).join(cleaned, "id_manifestation")
     full = joined.withColumns({
         "fp_start_date": F.date_add("eb_end_date", 1),

@@ -126,7 +126,7 @@ def demographics_mart(a: DataFrame, b: DataFrame, ctx: Context) -> DataFrame:
 def geo_mart(a: DataFrame, b: DataFrame, countries: DataFrame, ctx: Context) -> DataFrame:
     """Geo rows with country names."""
     rows = stack(_mart(a, ctx.platform_a, GEO), _mart(b, ctx.platform_b, GEO))
-    return with_country(rows, countries, bound=ctx.bound).select(*[n for n, _ in GEO], "country_name")
+    return with_country(rows, countries).select(*[n for n, _ in GEO], "country_name")
 
 
 def targeted_geo_mart(a: DataFrame, b: DataFrame, countries: DataFrame, ctx: Context) -> DataFrame:
@@ -138,7 +138,7 @@ def targeted_geo_mart(a: DataFrame, b: DataFrame, countries: DataFrame, ctx: Con
     rows = stack(_mart(a, ctx.platform_a, TARGETED_GEO, **_classified(a, ctx.geo_conversions_a, name, True)),
                  _mart(b, ctx.platform_b, TARGETED_GEO, **_classified(b, ctx.geo_conversions_b, name, False)))
     kept = keep_classes(rows, "platform", "standardized_conversion_type", ctx.geo_keep)
-    return with_country(kept, countries, bound=ctx.bound).select(*[n for n, _ in TARGETED_GEO], "country_name")
+    return with_country(kept, countries).select(*[n for n, _ in TARGETED_GEO], "country_name")
 
 
 def phrase_source(terms: DataFrame, creatives: DataFrame, ctx: Context) -> DataFrame:
@@ -181,28 +181,39 @@ def roi_mart(ads: DataFrame, crm: DataFrame, ctx: Context) -> DataFrame:
 
 WORD_KEYS = ("date", "platform", "account_name", "account_id", "campaign_name", "campaign_status", "campaign_id",
              "event_name", "event_edition", "week_display", "week_number", "week_number_to_sort", "weeks_left",
-             "cut_off_rate", "cut_off_rate_sort_order", "currency", "word", "clean_phrase")
+             "cut_off_rate", "cut_off_rate_sort_order", "currency", "word", "phrase_key")
 GLOBAL_KEYS = ("event_edition", "platform", "campaign_id", "campaign_status", "cut_off_rate", "word")
 
 
-def word_stats(source: DataFrame, stop_words: Sequence[str], min_length: int = 3, width: int = 100) -> DataFrame:
-    """One row per word and shortened phrase with summed statistics.
+def word_stats(source: DataFrame, stop_words: Sequence[str], min_length: int = 3) -> DataFrame:
+    """One row per word and whole phrase with summed statistics.
 
-    The text is shortened and dropped before words are unfolded, so a word row
-    never carries the whole text.
+    A 128-bit hash stands for the phrase, so a word row never carries the text;
+    :func:`phrase_texts` has the texts.
     """
-    short = source.select("*", shorten("raw_text", width).alias("clean_phrase"),
+    keyed = source.select("*", F.md5("raw_text").alias("phrase_key"),
                           tokens("raw_text", min_length, stop_words).alias("_words")).drop("raw_text")
     # The inner form would make Spark tokenise twice, to filter out empty lists first.
-    words = short.withColumn("word", F.explode_outer("_words")).drop("_words").where(F.col("word").isNotNull())
+    words = keyed.withColumn("word", F.explode_outer("_words")).drop("_words").where(F.col("word").isNotNull())
     return rollup(words, WORD_KEYS, [*SUMMED, "conversions", "conversion_value"])
 
 
-def word_mart(stats: DataFrame, k: int = 10) -> DataFrame:
-    """Daily statistics per word with its top phrases over all dates."""
-    totals = phrase_totals(stats, [*GLOBAL_KEYS, "clean_phrase"], "impressions", "total_impressions")
-    tops = top_phrases(totals, GLOBAL_KEYS, "clean_phrase", "total_impressions", k, "top_search_combinations")
-    keys = [c for c in WORD_KEYS if c not in ("clean_phrase", "currency", "account_name", "account_id")]
+def phrase_texts(source: DataFrame, width: int = 100) -> DataFrame:
+    """One row per phrase: its key and the text to display, shortened to ``width``."""
+    return source.select(F.md5("raw_text").alias("phrase_key"), shorten("raw_text", width).alias("clean_phrase")).where(
+        F.col("phrase_key").isNotNull()).distinct()
+
+
+def word_mart(stats: DataFrame, texts: DataFrame, k: int = 10) -> DataFrame:
+    """Daily statistics per word with its top phrases over all dates.
+
+    Phrases are ranked whole, by their keys where totals are equal, and only
+    the chosen ones get their texts.
+    """
+    totals = phrase_totals(stats, [*GLOBAL_KEYS, "phrase_key"], "impressions", "total_impressions")
+    tops = top_phrases(totals, GLOBAL_KEYS, "phrase_key", "total_impressions", k, "top_search_combinations",
+                       texts=texts, text="clean_phrase")
+    keys = [c for c in WORD_KEYS if c not in ("phrase_key", "currency", "account_name", "account_id")]
     daily = rollup(stats, keys, [*SUMMED, "conversions", "conversion_value"], ["currency"], DELIVERY_RATIOS)
     return daily.join(tops, list(GLOBAL_KEYS), "left").select(
         *keys, *date_parts("date"), "top_search_combinations", *PHRASE_METRICS)

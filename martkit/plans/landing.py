@@ -16,7 +16,7 @@ from ..functions.casts import from_micros
 from ..functions.text import hour_of_range, path_tail
 from ..operators import nested
 from ..operators.dedup import first_wins
-from ..operators.lookup import DEFAULT_BOUND, Bound, pacing, with_default
+from ..operators.lookup import pacing, with_default
 from ..operators.nested import Field, actions_json, flatten_report, parse_actions, sum_actions
 from ..sources.load import stamp
 from ..sources.schemas import raw_schema
@@ -182,34 +182,34 @@ def _ordered(df: DataFrame, name: str, at: datetime | None) -> DataFrame:
     return _stamped(df, at).select([f.name for f in raw_schema(name)])
 
 
-def _with_campaign_status(df: DataFrame, statuses: DataFrame, bound: Bound) -> DataFrame:
-    side = statuses.select(F.col("campaign_id").cast("string").alias("campaign_id"),
+def _with_campaign_status(df: DataFrame, statuses: DataFrame) -> DataFrame:
+    side = statuses.select(F.col("campaign_id").cast("string").alias("campaign_id"), *[c for c in [STAMP] if c in statuses.columns],
                            F.col("effective_status").alias("campaign_status"))
-    return with_default(df, side, ["campaign_id"], {"campaign_status": UNKNOWN_STATUS}, bound)
+    return with_default(df, side, ["campaign_id"], {"campaign_status": UNKNOWN_STATUS})
 
 
 def land_b(report: DataFrame, name: str, statuses: DataFrame, currency: Mapping[str, str] | str,
-           at: datetime | None = None, strict: bool = False, bound: Bound = DEFAULT_BOUND) -> DataFrame:
+           at: datetime | None = None, strict: bool = False) -> DataFrame:
     """Landed rows of a platform B report; conversions sum all actions."""
-    return _ordered(_with_campaign_status(_base_b(report, name, currency, strict), statuses, bound), name, at)
+    return _ordered(_with_campaign_status(_base_b(report, name, currency, strict), statuses), name, at)
 
 
 def land_b_actions(report: DataFrame, statuses: DataFrame, currency: Mapping[str, str] | str,
-                   at: datetime | None = None, strict: bool = False, bound: Bound = DEFAULT_BOUND) -> DataFrame:
+                   at: datetime | None = None, strict: bool = False) -> DataFrame:
     """One landed row per action; the last value of a type is its revenue."""
     rows = nested.explode_actions(report, names=("conversion_action", "_count", "_value"), duplicate="last",
                                   missing=0.0, strict=strict)
     typed = _base_b(rows, "b_conversion_action", currency, strict,
                     {"conversions": F.col("_count"), "conversion_value": F.col("_value")})
-    return _ordered(_with_campaign_status(typed, statuses, bound), "b_conversion_action", at)
+    return _ordered(_with_campaign_status(typed, statuses), "b_conversion_action", at)
 
 
 def land_b_pacing(report: DataFrame, budgets: DataFrame, statuses: DataFrame, currency: Mapping[str, str] | str,
-                  at: datetime | None = None, strict: bool = False, bound: Bound = DEFAULT_BOUND) -> DataFrame:
+                  at: datetime | None = None, strict: bool = False) -> DataFrame:
     """Spend per ad set and day with its budget caps."""
     name = "b_budget_pacing"
     spend = _base_b(report, name, currency, strict).drop("daily_budget_cap", "lifetime_budget_cap", "adset_status")
-    return _ordered(_with_campaign_status(pacing(spend, budgets, bound=bound), statuses, bound), name, at)
+    return _ordered(_with_campaign_status(pacing(spend, budgets), statuses), name, at)
 
 
 def land_creatives(creatives: DataFrame, account_name: str, at: datetime | None = None) -> DataFrame:

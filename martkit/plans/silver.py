@@ -75,7 +75,7 @@ def states_b(dim: DataFrame, ctx: Context) -> States:
 def _states(dim: DataFrame, status: Column, ctx: Context) -> States:
     df = campaign_states(dim, status, ctx.tie)
     # The raw dimension bounds the deduplicated one and needs no shuffle to count.
-    return States(df, fits(dim.select("campaign_id", status.alias("s")), ctx.bound) or fits(df, ctx.bound))
+    return States(df, fits(dim.select("campaign_id", status.alias("s")), ctx.bound))
 
 
 def _newest(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
@@ -117,7 +117,7 @@ def _named_b(src: DataFrame, ctx: Context) -> DataFrame:
 
 def _with_status(df: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     states = inputs.states
-    joined = lookup(df, states.df, ["campaign_id"], small=states.small, bound=ctx.bound)
+    joined = lookup(df, states.df, ["campaign_id"], small=states.small)
     return joined.withColumn("campaign_status", F.coalesce("campaign_status", F.lit(IDLE)))
 
 
@@ -244,7 +244,7 @@ def a_demographic_conversions(ages: DataFrame, genders: DataFrame, inputs: Input
 def a_geo(standard: DataFrame, restricted: DataFrame, targets: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """Campaigns of the restricted report leave the standard one."""
     place = ["geo_criterion_id", "location_type"]
-    split = exclude_keys(standard, restricted, "campaign_id", ctx.null_aware, ctx.bound)
+    split = exclude_keys(standard, restricted, "campaign_id", ctx.null_aware)
 
     def build(src, group_id, group_name):
         return _typed(src, {
@@ -261,7 +261,7 @@ def a_geo(standard: DataFrame, restricted: DataFrame, targets: DataFrame, inputs
         build(_newest(split, ["date", "campaign_id", "ad_group_id", *place], ctx),
               F.col("ad_group_id").cast("string"), F.col("ad_group_name")),
         build(_newest(restricted, ["date", "campaign_id", *place], ctx), none, none))
-    named = with_geo(base, targets, ["user_geo_criterion_id", "geo_criterion_id"], UNKNOWN, ctx.bound)
+    named = with_geo(base, targets, ["user_geo_criterion_id", "geo_criterion_id"], UNKNOWN)
     return _finish(_with_status(named, inputs, ctx),
                    [*HEAD, *GROUP, *GEO, "cost", "average_cpc", *COUNTS, *RATES, *CONVERSIONS,
                     "view_through_conversions", "all_conversions", "bidding_strategy_type", "currency"], inputs, ctx)
@@ -279,7 +279,7 @@ def a_user_location(raw: DataFrame, targets: DataFrame, inputs: Inputs, ctx: Con
                   all_conversions_value="all_conversions_value"),
         "bidding_strategy_type": F.lit(NOT_AVAILABLE), "currency": F.lit(NOT_AVAILABLE)}),
         {**ZERO_DELIVERY, "view_through_conversions": "double"})
-    named = with_geo(typed, targets, ["user_geo_criterion_id"], UNKNOWN, ctx.bound)
+    named = with_geo(typed, targets, ["user_geo_criterion_id"], UNKNOWN)
     return _finish(_with_status(named, inputs, ctx),
                    [*HEAD, *GROUP, "location_type", "conversion_action_name", *GEO, "cost", "average_cpc", *COUNTS,
                     *RATES, *CONVERSIONS, "view_through_conversions", "all_conversions", "all_conversions_value",
@@ -328,7 +328,7 @@ def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFra
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
     texts = ["headline", "body", "call_to_action_type", "destination_url", "image_url"]
     tie = [t for t in ctx.tie if t in creatives.columns]
-    linked = with_creative(typed, bridge, creatives, texts, tie=tie, fan_out=ctx.fan_out, bound=ctx.bound)
+    linked = with_creative(typed, bridge, creatives, texts, tie=tie, fan_out=ctx.fan_out)
     linked = linked.withColumnsRenamed({"headline": "ad_headline", "body": "ad_primary_text",
                                         "destination_url": "landing_page_url"})
     return _finish(_with_status(linked, inputs, ctx),

@@ -1,32 +1,43 @@
 """Load semantics on date-partitioned Parquet tables.
 
-Replacing days is one write with dynamic partition overwrite: Spark writes the
-new files aside and swaps the touched partitions when every task has finished.
-Re-running a failed load gives the same table, because rows of other accounts
-are taken over from whatever version of a day is in place.
+A range reload writes the merged days to a staging folder beside the table,
+marks it complete, and only then swaps the days one by one. A load that stops
+before the mark leaves the table as it was; one that stops after it is finished
+by the next call (:func:`recover`), so no account loses rows. File operations
+use the Hadoop file system of the session, which Spark Connect does not offer.
 """
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.stack import stack
 
+MARK = "_COMPLETE"
+log = logging.getLogger(__name__)
+
 
 def stamp(df: DataFrame, at: datetime | None = None, column: str = "_ingested_at") -> DataFrame:
-    """Ingestion time, fixed when given."""
-    return df.withColumn(column, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
+    """Ingestion time, by default that of this call, so a task that runs again writes the same."""
+    return df.withColumn(column, F.lit(at or datetime.now(timezone.utc)).cast("timestamp"))
+
 
+def open_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
+    """The table at ``path``, or None before its first load.
 
-def open_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first load."""
+    Give the declared ``schema``: without one the type of the partition column
+    is guessed from its values, and text like ``007`` becomes a number.
+    """
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -48,7 +59,7 @@ def write_clustered(df: DataFrame, path: str, partition: str = "date", keys: Seq
 def materialize(df: DataFrame, path: str, keys: Sequence[str] = (), partition: str = "date") -> DataFrame:
     """Rebuild a mart and read it back."""
     write_clustered(df, path, partition, keys)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str) -> bool:
@@ -59,13 +70,59 @@ def full_refresh(df: DataFrame, path: str) -> bool:
     return True
 
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> None:
-    """Remove whole partition directories (days that became empty)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for value in values:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{column}={value}"), True)
+class _Folder:
+    """A path of the session's Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._jvm = spark.sparkContext._jvm
+        self._root = self._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def at(self, name: str = ""):
+        return self._jvm.org.apache.hadoop.fs.Path(self._root, name) if name else self._root
+
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self.at(name))
+
+    def delete(self, name: str = "") -> None:
+        self._fs.delete(self.at(name), True)
+
+    def write(self, name: str, text: str) -> None:
+        """Written under another name and renamed, so the file is whole or absent."""
+        out = self._fs.create(self.at(name + ".part"), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self._fs.rename(self.at(name + ".part"), self.at(name))
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self.at(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def take(self, other: _Folder, name: str) -> None:
+        """Replace ``name`` by that of ``other``."""
+        self.delete(name)
+        if not self._fs.rename(other.at(name), self.at(name)):
+            raise OSError(f"cannot move {name} into place")
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a reload that stopped after its mark; drop one that stopped before. True if one was finished."""
+    table, staging = _Folder(spark, path), _Folder(spark, path.rstrip("/") + "__staging")
+    if not staging.exists():
+        return False
+    marked = staging.exists(MARK)
+    if marked:
+        swap = json.loads(staging.read(MARK))
+        for name in swap["write"]:
+            if staging.exists(name):  # else it is in place already
+                table.take(staging, name)
+        for name in swap["drop"]:
+            table.delete(name)
+    staging.delete()
+    return marked
 
 
 def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Sequence[str],
@@ -75,9 +132,11 @@ def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Seq
 
     Other accounts keep their rows; days that end up without any row go. An
     empty batch changes nothing. Rows outside the stated range or accounts are
-    refused, since they would not replace what they claim to.
+    refused, since they would not replace what they claim to; so are columns
+    whose names or types differ from the table's.
     """
     spark = df.sparkSession
+    recover(spark, path)
     batch = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mine = F.col(account).isin(list(accounts))
@@ -91,17 +150,22 @@ def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Seq
         if old is None:
             write_clustered(batch, path, day, cluster)
             return True
-        differing = set(old.columns) ^ set(batch.columns)
-        if differing:
+        # the day is a folder name, its type follows from the batch
+        differing = {c for c, _ in set(old.drop(day).dtypes) ^ set(batch.drop(day).dtypes)}
+        if differing or day not in old.columns:
             raise ValueError(f"columns differ from the table: {sorted(differing)}")
-        touched = old.where(inside)
+        touched = open_table(spark, path, batch.schema).where(inside)
         kept = touched.where(~F.coalesce(mine, F.lit(False)))
         merged = stack(kept, batch)
         # At most one value per day of the range reaches the driver.
         before = {r[0] for r in touched.select(day).distinct().collect()}
         after = {r[0] for r in merged.select(day).distinct().collect()}
-        write_clustered(merged, path, day, cluster, dynamic=True)
-        _drop_partitions(spark, path, day, sorted(before - after))
+        staging = path.rstrip("/") + "__staging"
+        write_clustered(merged, staging, day, cluster)
+        named = {key: [f"{day}={v}" for v in sorted(values)] for key, values in
+                 (("write", after), ("drop", before - after))}
+        _Folder(spark, staging).write(MARK, json.dumps(named))
+        recover(spark, path)
         return True
     finally:
         batch.unpersist()
@@ -116,9 +180,16 @@ def reload_accounts(df: DataFrame, path: str, account: str = "account_id", keys:
 
 
 def repair(df: DataFrame, path: str, accounts: Sequence[str], start: date, end: date, **kwargs) -> bool:
-    """Forced range reload of listed accounts."""
-    return reload_range(df.where(F.col("account_id").isin(list(accounts)) & F.col("date").between(start, end)),
-                        path, start, end, accounts, **kwargs)
+    """Forced range reload of listed accounts (B10); logs how many rows it left out."""
+    wanted = F.coalesce(F.col("account_id").isin(list(accounts)) & F.col("date").between(start, end), F.lit(False))
+    _log_left_out(df, wanted)
+    return reload_range(df.where(wanted), path, start, end, accounts, **kwargs)
+
+
+def _log_left_out(df: DataFrame, wanted: Column) -> None:
+    count = df.where(~wanted).count()
+    if count:
+        log.warning("%d rows outside the stated range or accounts were left out", count)
 
 
 def next_window(target: DataFrame | None, lookback: int, first: date, today: date,
@@ -148,9 +219,12 @@ def year_slices(first_year: int, today: date) -> list[tuple[date, date]]:
 
 
 def backfill(df: DataFrame, path: str, first_year: int, today: date, accounts: Sequence[str], **kwargs) -> int:
-    """Range reload per year; returns the number of years that had rows."""
-    done = 0
-    for start, end in year_slices(first_year, today):
+    """Range reload per year; returns the number of years that had rows, logs how many rows it left out."""
+    done, slices = 0, year_slices(first_year, today)
+    if slices:
+        whole = F.col("date").between(F.lit(slices[0][0]), F.lit(slices[-1][1]))
+        _log_left_out(df, F.coalesce(whole, F.lit(False)))
+    for start, end in slices:
         part = df.where(F.col("date").between(F.lit(start), F.lit(end)))
         done += reload_range(part, path, start, end, accounts, **kwargs)
     return done

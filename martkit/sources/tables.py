@@ -19,16 +19,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return reader.parquet(f"{root}/{name}")
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Fan out a scan that has fewer splits than the session has cores.
-
-    Meant for files of one row group, which Spark cannot split. Tables in many
-    files are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def jdbc_options(url: str, query: str, properties: Mapping[str, str] | None = None, fetch_size: int = 10_000,
                  split: tuple[str, int, int, int] | None = None) -> dict[str, str]:
     """Options of a relational extract; ``split`` is (column, low, high, parts).

@@ -68,6 +68,73 @@ def test_other_columns_are_refused(spark, table):
         load.reload_range(batch, table, d("2024-05-01"), d("2024-05-02"), ["a"])
 
 
+def test_other_types_are_refused(spark, table):
+    batch = facts(spark, ("2024-05-01", "a", "c", 1))
+    changed = batch.withColumn(batch.columns[-1], F.col(batch.columns[-1]).cast("double"))
+    with pytest.raises(ValueError, match=batch.columns[-1]):
+        load.reload_range(changed, table, d("2024-05-01"), d("2024-05-02"), ["a"])
+
+
+@pytest.mark.parametrize("stop", ["before the mark", "after the mark", "between two days", "before a drop"])
+def test_a_stopped_reload_loses_no_row(spark, table, rows, monkeypatch, stop):
+    """Accounts outside the batch keep their rows, whenever the load stops."""
+    batch = facts(spark, ("2024-05-01", "a", "c", 70), ("2024-05-03", "a", "c", 71))
+    args = (batch, table, d("2024-05-01"), d("2024-05-04"), ["a"])
+    before = read(spark, table, rows)
+    others = [r for r in before if r[1] != "a"]
+
+    class Stop(Exception):
+        pass
+
+    with monkeypatch.context() as m:
+        folder, calls = load._Folder, []
+
+        def fail(*_):
+            raise Stop
+
+        if stop == "before the mark":
+            m.setattr(folder, "write", fail)
+        else:
+            take, delete = folder.take, folder.delete
+            first = {"after the mark": 1, "between two days": 2}.get(stop, 99)
+
+            def counted(self, other, name):
+                calls.append(name)
+                if len(calls) == first:
+                    delete(self, name)  # the old day is gone already
+                    raise Stop
+                take(self, other, name)
+
+            def dropped(self, name=""):
+                if stop == "before a drop" and calls and not name:
+                    raise Stop
+                delete(self, name)
+
+            m.setattr(folder, "take", counted)
+            m.setattr(folder, "delete", dropped)
+        with pytest.raises(Stop):
+            load.reload_range(*args)
+    if stop == "before the mark":
+        assert read(spark, table, rows) == before
+    load.recover(spark, table)
+    left = [r for r in read(spark, table, rows) if r[1] != "a"]
+    assert left == others
+    assert load.reload_range(*args)
+    after = read(spark, table, rows)
+    assert [r for r in after if r[1] != "a"] == others
+    assert [r for r in after if r[1] == "a" and d("2024-05-01") <= r[0] <= d("2024-05-04")] == [
+        (d("2024-05-01"), "a", 70), (d("2024-05-03"), "a", 71)]
+
+
+def test_text_keys_keep_their_zeros(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "zeros"), "account_id string, v long"
+    df = spark.createDataFrame([("007", 1), ("0123", 2)], schema)
+    load.reload_accounts(df, path)
+    assert rows(load.open_table(spark, path, schema), "account_id", "v") == [("007", 1), ("0123", 2)]
+    keyed = df.withColumnRenamed("account_id", "date")
+    assert rows(load.materialize(keyed, str(tmp_path / "mart")), "date", "v") == [("007", 1), ("0123", 2)]
+
+
 def test_first_load_and_repair(spark, tmp_path, rows):
     path = str(tmp_path / "new")
     assert load.reload_range(facts(spark, ("2024-05-01", "a", "c", 1)), path, d("2024-05-01"), d("2024-05-01"), ["a"])

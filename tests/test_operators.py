@@ -14,7 +14,7 @@ from martkit.operators.nested import Field
 from martkit.operators.rollup import DELIVERY_RATIOS, phrase_totals, rollup, top_phrases
 from martkit.operators.stack import align, stack, zero_metrics
 
-TIGHT = Bound(max_rows=0, max_bytes=0, salts=4)
+TIGHT = Bound(max_rows=0, max_bytes=0)
 
 
 def plan(df):
@@ -52,16 +52,34 @@ def test_combine_recent_exclude(spark, rows):
 
 # Lookups --------------------------------------------------------------------
 
-def test_salted_join_equals_broadcast_join_with_hot_key(spark, rows):
+def test_plain_join_equals_broadcast_join_with_hot_key(spark, rows):
     fact = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(300)] + [(None, 999)],
                                  "k string, n int")
     side = spark.createDataFrame([("hot", "H"), ("k0", "Z"), ("unused", "U")], "k string, v string")
     for how in ("left", "inner", "left_anti", "left_semi"):
-        small = lookup.lookup(fact, side, ["k"], how)
-        large = lookup.lookup(fact, side, ["k"], how, bound=TIGHT)
-        assert "_salt" in large._jdf.queryExecution().analyzed().toString()
+        small = lookup.lookup(fact, side, ["k"], how, small=True)
+        large = lookup.lookup(fact, side, ["k"], how)
         assert rows(small) == rows(large)
-    assert lookup.lookup(fact, side, ["k"], bound=TIGHT).count() == fact.count()
+    assert lookup.lookup(fact, side, ["k"]).count() == fact.count()
+
+
+def test_lookups_keep_the_row_count(spark, rows):
+    spend = spark.createDataFrame([("s1", "c1", "FR", 1), ("s2", None, None, 2)],
+                                  "adset_id string, campaign_id string, country_code string, n int")
+    budgets = spark.createDataFrame([("s1", "100", None, "OLD", 1), ("s1", "300", None, "NEW", 2), (None, "9", "9", "X", 3)],
+                                    "adset_id string, daily_budget string, lifetime_budget string, status string, "
+                                    "_ingested_at int")
+    assert rows(lookup.pacing(spend, budgets), "n", "daily_budget_cap", "adset_status") == [
+        (1, 3.0, "NEW"), (2, 0.0, "UNKNOWN")]
+    states = spark.createDataFrame([("c1", "A"), ("c1", "B")], "campaign_id string, status string")
+    assert rows(lookup.with_default(spend, states, ["campaign_id"], {"status": "?"}), "n", "status") == [(1, "B"), (2, "?")]
+    countries = spark.createDataFrame([("FR", "Fr"), ("FR", "France")], "country_code string, country_name string")
+    assert rows(lookup.with_country(spend, countries), "n", "country_name") == [(1, "France"), (2, None)]
+    targets = spark.createDataFrame([(1, "a", "b", "c", "d"), (1, "z", "b", "c", "d")],
+                                    "`Criteria ID` int, Name string, `Canonical Name` string, `Country Code` string, "
+                                    "`Target Type` string")
+    geo = spend.drop("country_code").withColumn("geo", F.lit("1"))
+    assert rows(lookup.with_geo(geo, targets, ["geo"]), "n", "region_name") == [(1, "z"), (2, "z")]
 
 
 def test_measure_counts_rows_and_bytes(spark):
@@ -76,7 +94,6 @@ def test_exclude_keys_null_semantics(spark, rows):
     fact = spark.createDataFrame([("c1",), ("c2",), (None,)], "c string")
     keys = spark.createDataFrame([("c1",), (None,)], "c string")
     assert rows(lookup.exclude_keys(fact, keys, "c")) == [("c2",), (None,)]
-    assert rows(lookup.exclude_keys(fact, keys, "c", bound=TIGHT)) == [("c2",), (None,)]
     assert rows(lookup.exclude_keys(fact, keys, "c", null_aware=True)) == []
     plain = keys.where("c is not null")
     assert rows(lookup.exclude_keys(fact, plain, "c", null_aware=True)) == [("c2",)]

@@ -263,10 +263,18 @@ def test_word_mart(spark):
     def row(day, text, n):
         return (d(day), "A", "n", "1", "c", "On", "c1", "e", "ed", "Week 1", 1, 1, "1", "EB", 2, "EUR", text, 1.0, n, 1,
                 1, 0.0, 0.0)
-    src = spark.createDataFrame([row("2024-05-01", "Best best EXPO!", 5), row("2024-05-02", "the expo", 9)], schema)
-    got = {(r.date, r.word): (r.impressions, r.top_search_combinations)
-           for r in gold.word_mart(gold.word_stats(src, ["the"])).collect()}
+    def mart(*data):
+        src = spark.createDataFrame(data, schema)
+        return {(r.date, r.word): (r.impressions, r.top_search_combinations)
+                for r in gold.word_mart(gold.word_stats(src, ["the"]), gold.phrase_texts(src)).collect()}
+
+    got = mart(row("2024-05-01", "Best best EXPO!", 5), row("2024-05-02", "the expo", 9))
     tops = "the expo (9)\nBest best EXPO! (5)"
+    start = "word " * 24
+    alike = mart(row("2024-05-01", start + "one", 5), row("2024-05-01", start + "two", 7))
+    shown = start[:100] + "..."
+    assert alike[(d("2024-05-01"), "word")] == (24 * 12, f"{shown} (168)\n{shown} (120)")
+    assert alike[(d("2024-05-01"), "one")] == (5, f"{shown} (5)")
     assert got == {(d("2024-05-01"), "best"): (10, "Best best EXPO! (10)"), (d("2024-05-01"), "expo"): (5, tops),
                    (d("2024-05-02"), "expo"): (9, tops)}
 

@@ -141,11 +141,11 @@ def keep_classes(spark, sf):
                               {"A": Keep(drop=("error",)), "B": Keep(only=("purchase", "signup"))})
 
 
-@query("""SELECT event_id, TRY_CAST(props[7:8] AS BIGINT) AS k, TRY_CAST(event_type AS DOUBLE) AS bad,
+@query("""SELECT event_id, TRY_CAST(regexp_extract(props, '"k": *([^,}]*)', 1) AS BIGINT) AS k, TRY_CAST(event_type AS DOUBLE) AS bad,
   CAST(round(value) AS BIGINT) AS rounded FROM events""")
 def safe_cast(spark, sf):
     events = table(spark, sf, "events")
-    return events.select("event_id", casts.safe_cast(F.substring("props", 7, 2), "bigint").alias("k"),
+    return events.select("event_id", casts.safe_cast(F.get_json_object("props", "$.k"), "bigint").alias("k"),
                          casts.safe_cast("event_type", "double").alias("bad"),
                          casts.safe_long(events, "value").alias("rounded"))
 
@@ -338,8 +338,9 @@ def quality_labels(spark, sf):
     return quality.check_labels(table(spark, sf, "events"), "event_type", ["view", "click"])
 
 
-@query("SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_returnflag = 'R'")
+@query("SELECT l_orderkey, l_extendedprice, l_returnflag = 'R' AS returned FROM lineitem")
 def published_view(spark, sf):
-    rows = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_extendedprice")
+    returned = (F.col("l_returnflag") == "R").alias("returned")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", returned)
     register_view(rows, "returned_lines")
     return spark.table("returned_lines")

@@ -79,49 +79,42 @@ def edition_calendar(spark, sf):
     return days.select("series", "date", "conference_editions", "edition_distance")
 
 
-_PAIR = (f"SELECT f.o_orderkey, f.date, e.* EXCLUDE (series) FROM fact f JOIN editions e ON f.event_name = e.series "
-         f"AND f.date BETWEEN e.event_start_date - 90 AND e.event_start_date + 10")
+_DATED = SHARED | _NAMED | oracle.label_cte("x", "fact")
 
 
-def _pairs(spark, sf):
-    """Orders around an edition, for the date operators."""
-    ed = match_series(raw(spark, sf, "calendar"), EDITION_RULES).withColumnRenamed("series", "event_name")
-    near = F.col("date").between(F.date_sub("event_start_date", 90), F.date_add("event_start_date", 10))
-    return fact(spark, sf).join(ed, "event_name").where(near)
+def _dated(spark, sf):
+    """Every order with its nearest edition, or with none, for the date operators."""
+    return nearest_edition(fact(spark, sf), editions(spark, sf))
 
 
-@query(statement(SHARED | _NAMED | {"p": _PAIR}, f"SELECT o_orderkey, conference_editions, {oracle.tier_case()} "
-                                                 "AS cut_off_rate FROM p"))
+@query(statement(_DATED, f"SELECT o_orderkey, conference_editions, {oracle.tier_case()} AS cut_off_rate FROM x_k"))
 def tier(spark, sf):
-    return _pairs(spark, sf).select("o_orderkey", "conference_editions",
+    return _dated(spark, sf).select("o_orderkey", "conference_editions",
                                     dates.tier("date", "conference_editions").alias("cut_off_rate"))
 
 
-@query(statement(SHARED | _NAMED | {"p": f"SELECT *, {oracle.tier_case()} AS rate FROM ({_PAIR})"},
+@query(statement(_DATED | {"p": f"SELECT *, {oracle.tier_case()} AS rate FROM x_k"},
                  f"SELECT o_orderkey, conference_editions, CAST({oracle.order_case('rate')} AS INT) AS sort_order FROM p"))
 def tier_order(spark, sf):
     rate = dates.tier("date", "conference_editions")
-    return _pairs(spark, sf).withColumn("rate", rate).select(
+    return _dated(spark, sf).withColumn("rate", rate).select(
         "o_orderkey", "conference_editions", dates.tier_order("rate").alias("sort_order"))
 
 
-@query(statement(SHARED | _NAMED | {"p": _PAIR},
-                 f"SELECT o_orderkey, conference_editions, {week_diff('event_start_date', 'date')} AS week_number, "
-                 f"'Week ' || {week_diff('event_start_date', 'date')} AS week, "
+@query(statement(_DATED | {"p": f"SELECT *, {oracle.week_case()} AS weeks FROM x_k"},
+                 "SELECT o_orderkey, conference_editions, weeks AS week_number, 'Week ' || weeks AS week, "
                  "52 - CAST(weekofyear(date) AS INT) AS year_end FROM p"))
 def countdown_week(spark, sf):
     week = dates.countdown_week("date", "conference_editions", "event_start_date")
-    return _pairs(spark, sf).select("o_orderkey", "conference_editions", week.alias("week_number"),
+    return _dated(spark, sf).select("o_orderkey", "conference_editions", week.alias("week_number"),
                                     dates.week_label(week).alias("week"),
                                     dates.weeks_to_year_end("date").alias("year_end"))
 
 
-@query(statement(SHARED | _NAMED | {"p": _PAIR},
-                 f"SELECT o_orderkey, conference_editions, CASE WHEN event_start_date < {TODAY} THEN 'Unknown' "
-                 f"ELSE CAST({week_diff('event_start_date', TODAY)} AS VARCHAR) END AS weeks_left FROM p"))
+@query(statement(_DATED, f"SELECT o_orderkey, conference_editions, {oracle.left_case()} AS weeks_left FROM x_k"))
 def weeks_left(spark, sf):
     left = dates.weeks_left("conference_editions", "event_start_date", AS_OF)
-    return _pairs(spark, sf).select("o_orderkey", "conference_editions", left.alias("weeks_left"))
+    return _dated(spark, sf).select("o_orderkey", "conference_editions", left.alias("weeks_left"))
 
 
 @query(statement(SHARED, "SELECT o_orderkey, coalesce(dim_status, 'Not delivering') AS campaign_status FROM orders "
@@ -140,13 +133,20 @@ def not_in_split(spark, sf):
         "l_orderkey", "l_suppkey", "l_extendedprice")
 
 
-@query("""SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN
-  (SELECT CASE WHEN s_acctbal > 100 THEN s_suppkey END FROM supplier WHERE s_acctbal < 3000)""")
+@query("""SELECT 'with NULL' AS key_set, l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN
+  (SELECT CASE WHEN s_acctbal > 100 THEN s_suppkey END FROM supplier WHERE s_acctbal < 3000)
+UNION ALL SELECT 'without', l_orderkey, nullif(l_suppkey, 7) FROM lineitem WHERE nullif(l_suppkey, 7) NOT IN
+  (SELECT s_suppkey FROM supplier WHERE s_acctbal < 3000)""")
 def not_in_null_aware(spark, sf):
-    keys = table(spark, sf, "supplier").where("s_acctbal < 3000").select(
-        F.when(F.col("s_acctbal") > 100, F.col("s_suppkey")).alias("l_suppkey"))
+    """A key set with a NULL removes everything; one without it, only its keys and NULL rows."""
+    low = table(spark, sf, "supplier").where("s_acctbal < 3000")
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
-    return lookup.exclude_keys(rows, keys, "l_suppkey", null_aware=True)
+    some = low.select(F.when(F.col("s_acctbal") > 100, F.col("s_suppkey")).alias("l_suppkey"))
+    every = low.select(F.col("s_suppkey").alias("l_suppkey"))
+    sets = {"with NULL": (rows, some), "without": (rows.withColumn("l_suppkey", F.nullif("l_suppkey", F.lit(7))), every)}
+    parts = [lookup.exclude_keys(r, k, "l_suppkey", null_aware=True).select(F.lit(n).alias("key_set"), "*")
+             for n, (r, k) in sets.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @query("""SELECT l_orderkey AS id, l_suppkey AS campaign_id, l_extendedprice AS cost FROM lineitem
@@ -502,15 +502,15 @@ def token_stats(spark, sf):
 @query(statement(oracle.word_ctes() | oracle.TOPS, "SELECT * FROM totals"))
 def phrase_total(spark, sf):
     stats = gold.word_stats(Models(spark, sf).phrase_source(), STOP_WORDS)
-    return phrase_totals(stats, [*gold.GLOBAL_KEYS, "clean_phrase"], "impressions", "total_impressions")
+    return phrase_totals(stats, [*gold.GLOBAL_KEYS, "phrase_key"], "impressions", "total_impressions")
 
 
 @query("""SELECT source, lang, string_agg(phrase || ' (' || total || ')', chr(10) ORDER BY total DESC, phrase) AS tops
-FROM (SELECT source, lang, left(text, 60) AS phrase, CAST(sum(n_chars) AS BIGINT) AS total FROM documents
-  GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY sum(n_chars) DESC, left(text, 60)) <= 10)
+FROM (SELECT source, lang, text AS phrase, CAST(sum(n_chars) AS BIGINT) AS total FROM documents
+  GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY sum(n_chars) DESC, text) <= 10)
 GROUP BY source, lang""")
 def top_ten(spark, sf):
-    docs = table(spark, sf, "documents").select("source", "lang", F.left("text", F.lit(60)).alias("phrase"), "n_chars")
+    docs = table(spark, sf, "documents").select("source", "lang", F.col("text").alias("phrase"), "n_chars")
     totals = phrase_totals(docs, ["source", "lang", "phrase"], "n_chars", "total")
     return top_phrases(totals, ["source", "lang"], "phrase", "total", 10, "tops")
 

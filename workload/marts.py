@@ -146,13 +146,13 @@ def phrases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
-    stats = gold.word_stats(Models(spark, sf).phrase_source(), STOP_WORDS)
-    return gold.word_mart(stats)
+    source = Models(spark, sf).phrase_source()
+    return gold.word_mart(gold.word_stats(source, STOP_WORDS), gold.phrase_texts(source))
 
 
 def roi(spark: SparkSession, sf: str) -> DataFrame:
     df = Models(spark, sf).roi_mart()
-    return df.withColumn("conversion_date", F.to_date("conversion_timestamp")).drop("conversion_timestamp")
+    return df.withColumn("conversion_timestamp", F.unix_micros("conversion_timestamp"))
 
 
 DIMS = ["year", "platform", "event_name"]
@@ -174,14 +174,14 @@ def ytd(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     **{f"silver_{name}": _silver(name) for name in oracle.SILVER},
     "silver_crm": lambda spark, sf: Models(spark, sf).crm().withColumn(
-        "conversion_timestamp", F.to_date("conversion_timestamp")),
+        "conversion_timestamp", F.unix_micros("conversion_timestamp")),
     "mart_campaign": campaign, "mart_conversion": conversion, "mart_ad": ad, "mart_demographics": demographics,
     "mart_geo": geo, "mart_targeted_geo": targeted_geo, "mart_phrases": phrases, "mart_words": words,
     "mart_roi": roi, "measures_financials": financials, "measures_yoy": yoy, "measures_ytd": ytd,
 }
 ORACLES: dict[str, str] = {
     **{f"silver_{name}": oracle.silver_sql(name) for name in oracle.SILVER},
-    "silver_crm": oracle.statement(oracle.CRM_CTES, "SELECT * REPLACE (CAST(conversion_timestamp AS DATE) "
+    "silver_crm": oracle.statement(oracle.CRM_CTES, "SELECT * REPLACE (epoch_us(conversion_timestamp) "
                                                     "AS conversion_timestamp) FROM crm"),
     "mart_campaign": oracle.mart_campaign(), "mart_conversion": oracle.mart_conversion(),
     "mart_ad": oracle.mart_ad(), "mart_demographics": oracle.mart_demographics(), "mart_geo": oracle.mart_geo(),

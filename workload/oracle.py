@@ -464,11 +464,10 @@ def mart_phrases() -> str:
 def word_ctes() -> dict[str, str]:
     keys = ("date, platform, account_name, account_id, campaign_name, campaign_status, campaign_id, event_name, "
             "event_edition, week_display, week_number, week_number_to_sort, weeks_left, cut_off_rate, "
-            "cut_off_rate_sort_order, currency, word, clean_phrase")
+            "cut_off_rate_sort_order, currency, word, phrase_key")
     return phrase_ctes() | {
         "tok": r"""SELECT *, unnest(string_split(regexp_replace(lower(raw_text), '[^0-9A-Za-z_\t\n\f\r ]', '', 'g'),
-  ' ')) AS word, CASE WHEN length(raw_text) > 100 THEN left(raw_text, 100) || '...' ELSE raw_text END AS clean_phrase
-  FROM src""",
+  ' ')) AS word, md5(raw_text) AS phrase_key FROM src""",
         "stats": f"""SELECT {keys}, sum(cost) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
   CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(unique_clicks) AS BIGINT) AS unique_clicks,
   sum(conversions) AS conversions, sum(conversion_value) AS conversion_value FROM tok
@@ -477,12 +476,14 @@ def word_ctes() -> dict[str, str]:
 
 GLOBAL = "event_edition, platform, campaign_id, campaign_status, cut_off_rate, word"
 TOPS = {
-    "totals": f"SELECT {GLOBAL}, clean_phrase, CAST(sum(impressions) AS BIGINT) AS total_impressions FROM stats "
-              f"GROUP BY {GLOBAL}, clean_phrase",
+    "shown": "SELECT DISTINCT md5(raw_text) AS phrase_key, CASE WHEN length(raw_text) > 100 THEN left(raw_text, 100) "
+             "|| '...' ELSE raw_text END AS clean_phrase FROM src",
+    "totals": f"SELECT {GLOBAL}, phrase_key, CAST(sum(impressions) AS BIGINT) AS total_impressions FROM stats "
+              f"GROUP BY {GLOBAL}, phrase_key",
     "tops": f"""SELECT {GLOBAL}, string_agg(clean_phrase || ' (' || total_impressions || ')', chr(10)
-  ORDER BY total_impressions DESC, clean_phrase) AS top_search_combinations FROM (
-    SELECT *, row_number() OVER (PARTITION BY {GLOBAL} ORDER BY total_impressions DESC, clean_phrase) AS rk FROM totals)
-  WHERE rk <= 10 GROUP BY {GLOBAL}"""}
+  ORDER BY total_impressions DESC, phrase_key) AS top_search_combinations FROM (
+    SELECT *, row_number() OVER (PARTITION BY {GLOBAL} ORDER BY total_impressions DESC, phrase_key) AS rk FROM totals)
+  JOIN shown USING (phrase_key) WHERE rk <= 10 GROUP BY {GLOBAL}"""}
 
 
 def mart_words() -> str:
@@ -518,8 +519,7 @@ def roi_ctes() -> dict[str, str]:
 
 
 def mart_roi() -> str:
-    return statement(roi_ctes(), "SELECT * EXCLUDE (conversion_timestamp), "
-                                 "CAST(conversion_timestamp AS DATE) AS conversion_date FROM roi")
+    return statement(roi_ctes(), "SELECT * REPLACE (epoch_us(conversion_timestamp) AS conversion_timestamp) FROM roi")
 
 
 FIN = """SELECT year, platform, event_name, sum(cost) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
