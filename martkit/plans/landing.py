@@ -7,17 +7,20 @@ landed schema decides names and types; here only the paths are listed.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.casts import from_micros
+from ..functions.rules import paid_media
 from ..functions.text import hour_of_range, path_tail
 from ..operators import nested
 from ..operators.dedup import first_wins
 from ..operators.lookup import pacing, with_default
 from ..operators.nested import Field, actions_json, flatten_report, parse_actions, sum_actions
+from ..operators.stack import stack
 from ..sources.load import stamp
 from ..sources.schemas import raw_schema
 
@@ -86,10 +89,13 @@ def _stamped(df: DataFrame, at: datetime | None) -> DataFrame:
 
 
 def land_a(report: DataFrame, name: str, at: datetime | None = None, channels: Sequence[str] = (),
-           strict: bool = False) -> DataFrame:
+           strict: bool = True) -> DataFrame:
     """Landed rows of a platform A report.
 
     ``channels`` limits restricted and asset reports to their channel types.
+    Missing metrics are 0, as in the report objects, but for the average price
+    of a click. Text that does not parse raises; with ``strict`` off it counts
+    as missing.
     """
     if name in POSITIVE:
         report = report.where(F.col(POSITIVE[name]) > 0)
@@ -97,7 +103,10 @@ def land_a(report: DataFrame, name: str, at: datetime | None = None, channels: S
         report = report.where(F.col(PATHS_A["channel_type"]).isin(list(channels)))
     paths = PATHS_A | PATHS_BY_TABLE.get(name, {})
     schema = [f for f in raw_schema(name) if f.name != STAMP]
-    fields = [Field(paths.get(f.name, f"metrics.{f.name}"), f.name, f.dataType.simpleString()) for f in schema]
+    fields = []
+    for f in schema:
+        metric = f.name not in paths and f.name != "average_cpc" and f.dataType.simpleString() in ("bigint", "double")
+        fields.append(Field(paths.get(f.name, f"metrics.{f.name}"), f.name, f.dataType.simpleString(), 0 if metric else None))
     out = flatten_report(report, fields, strict)
     parsed: dict[str, Column] = {}
     if "average_cpc" in out.columns:
@@ -189,13 +198,13 @@ def _with_campaign_status(df: DataFrame, statuses: DataFrame) -> DataFrame:
 
 
 def land_b(report: DataFrame, name: str, statuses: DataFrame, currency: Mapping[str, str] | str,
-           at: datetime | None = None, strict: bool = False) -> DataFrame:
+           at: datetime | None = None, strict: bool = True) -> DataFrame:
     """Landed rows of a platform B report; conversions sum all actions."""
     return _ordered(_with_campaign_status(_base_b(report, name, currency, strict), statuses), name, at)
 
 
 def land_b_actions(report: DataFrame, statuses: DataFrame, currency: Mapping[str, str] | str,
-                   at: datetime | None = None, strict: bool = False) -> DataFrame:
+                   at: datetime | None = None, strict: bool = True) -> DataFrame:
     """One landed row per action; the last value of a type is its revenue."""
     rows = nested.explode_actions(report, names=("conversion_action", "_count", "_value"), duplicate="last",
                                   missing=0.0, strict=strict)
@@ -205,7 +214,7 @@ def land_b_actions(report: DataFrame, statuses: DataFrame, currency: Mapping[str
 
 
 def land_b_pacing(report: DataFrame, budgets: DataFrame, statuses: DataFrame, currency: Mapping[str, str] | str,
-                  at: datetime | None = None, strict: bool = False) -> DataFrame:
+                  at: datetime | None = None, strict: bool = True) -> DataFrame:
     """Spend per ad set and day with its budget caps."""
     name = "b_budget_pacing"
     spend = _base_b(report, name, currency, strict).drop("daily_budget_cap", "lifetime_budget_cap", "adset_status")
@@ -218,3 +227,45 @@ def land_creatives(creatives: DataFrame, account_name: str, at: datetime | None
         "creative_id": F.col("id").cast("string"), "creative_name": F.col("name"),
         "account_name": F.lit(account_name)})
     return _ordered(rows, "b_creative_dim", at)
+
+
+# CRM ------------------------------------------------------------------------
+
+# Text columns of the landed orders that are never missing.
+FILLED = ("conference_series", "conference_editions", "cut_off_rate", "currency", "order_type", "city", "country", "region",
+          "primary_language", "specialty", "utm_source", "utm_medium", "utm_campaign", "orders", "new_customer")
+
+
+@dataclass(frozen=True)
+class CrmRegion:
+    """One region's orders: its paid-media lists, and the landed columns that have other names or one value there."""
+
+    rows: DataFrame
+    explicit: tuple[str, ...]
+    ambiguous: tuple[str, ...] = ()
+    paid_mediums: tuple[str, ...] = ()
+    names: Mapping[str, str] = field(default_factory=dict)
+    constants: Mapping[str, object] = field(default_factory=dict)
+
+
+def land_crm(regions: Sequence[CrmRegion], at: datetime | None = None, unknown: str = UNKNOWN_PLACE) -> DataFrame:
+    """Paid orders of all regions under the landed names (C28, C33, H5); full-refresh the result.
+
+    Missing text, NULL or the text of a NaN, becomes ``unknown``.
+    """
+    schema = [f for f in raw_schema("crm_orders") if f.name != STAMP]
+    landed = []
+    for region in regions:
+        source, medium = (region.names.get(c, c) for c in ("utm_source", "utm_medium"))
+        rows = paid_media(region.rows, source, medium, region.explicit, region.ambiguous, region.paid_mediums)
+        cols = []
+        for f in schema:
+            name = region.names.get(f.name, f.name)
+            c = (F.lit(region.constants[f.name]) if f.name in region.constants
+                 else F.col(name) if name in rows.columns else F.lit(None))
+            c = c.cast(f.dataType)
+            if f.name in FILLED:
+                c = F.when(c.isNull() | (c == "NaN"), F.lit(unknown)).otherwise(c)
+            cols.append(c.alias(f.name))
+        landed.append(rows.select(*cols))
+    return _stamped(stack(*landed), at)

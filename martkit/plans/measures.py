@@ -24,14 +24,12 @@ def financials(roi: DataFrame, dims: Sequence[str]) -> DataFrame:
 def year_over_year(yearly: DataFrame, dims: Sequence[str], measures: Sequence[str], year: str = "year") -> DataFrame:
     """Each measure with its value one year earlier and the relative change.
 
-    A self join on aggregated rows; NULL dimension values compare as equal.
+    ``yearly`` has one row per year and dimension values, so the year before is
+    the row before, if it is there. NULL dimension values compare as equal.
     """
-    before = yearly.select((F.col(year) + 1).alias("_y"), *[F.col(d).alias(f"_{d}") for d in dims],
-                           *[F.col(m).alias(f"{m}_prev") for m in measures])
-    on = F.col(year) == F.col("_y")
-    for d in dims:
-        on = on & F.col(d).eqNullSafe(F.col(f"_{d}"))
-    joined = yearly.join(before, on, "left").drop("_y", *[f"_{d}" for d in dims])
+    w = Window.partitionBy(*dims).orderBy(year)
+    there = F.lag(year).over(w) == F.col(year) - 1
+    joined = yearly.withColumns({f"{m}_prev": F.when(there, F.lag(m).over(w)) for m in measures})
     return joined.withColumns({
         f"{m}_yoy": ratio(F.col(m) - F.col(f"{m}_prev"), f"{m}_prev") for m in measures})
 

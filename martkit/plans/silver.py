@@ -435,6 +435,14 @@ def platform_of(column: str, ctx: Context) -> Column:
     return first_match(column, rules, ctx.source_other)
 
 
+def crm_dropped_sources(raw: DataFrame, ctx: Context) -> DataFrame:
+    """Sources that belong to no known platform, with the orders that :func:`crm_conversions` leaves out."""
+    rows = recent(raw, "date_submit", ctx.recent_days, ctx.as_of)
+    known = F.coalesce(platform_of("utm_source", ctx).isin(list(ctx.source_aliases)), F.lit(False))
+    return (rows.where(~known).groupBy(F.lower(F.trim("utm_source")).alias("utm_source"))
+            .agg(F.count(F.lit(1)).alias("n_orders")))
+
+
 def crm_conversions(raw: DataFrame, ctx: Context) -> DataFrame:
     """Cleaned orders of the known platforms."""
     def lowered(c):

@@ -1,6 +1,8 @@
 from datetime import datetime
 
 from conftest import d
+import pytest
+from pyspark.sql import functions as F
 from martkit.plans import landing
 from martkit.sources.schemas import raw_schema
 
@@ -22,8 +24,26 @@ def test_platform_a_report(spark):
     assert out.columns == names("a_performance")
     row = out.first()
     assert (row.date, row.account_id, row.campaign_id, row.ad_id, row.average_cpc, row.cost_micros, row.engagements) == (
-        d("2024-05-01"), "11", "22", "44", 2.5, 9000000, None)
+        d("2024-05-01"), "11", "22", "44", 2.5, 9000000, 0)  # a missing metric is 0
     assert row._ingested_at == AT
+    bad = report.withColumn("metrics", F.struct(F.lit("n/a").alias("clicks")))
+    assert landing.land_a(bad, "a_performance", AT, strict=False).first().clicks == 0
+    assert landing.land_a(bad, "a_performance", AT, strict=False).first().average_cpc is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        landing.land_a(bad, "a_performance", AT).collect()
+
+
+def test_crm_regions_under_one_schema(spark):
+    a = spark.createDataFrame([("1", "s", "cpc", None, "NaN"), ("2", "q", "cpc", "x", "y"), ("3", "q", "mail", "x", "y")],
+                              "id_commande string, utm_source string, utm_medium string, city string, orders string")
+    b = spark.createDataFrame([("4", "q", "cpc", "sp")], "id_customer string, src string, utm_medium string, speciality string")
+    regions = [landing.CrmRegion(a, ("s",), ("q",), ("cpc",)),
+               landing.CrmRegion(b, (), ("q",), ("cpc",), {"id_commande": "id_customer", "utm_source": "src",
+                                                           "specialty": "speciality"}, {"currency": "USD"})]
+    got = {r.id_commande: r for r in landing.land_crm(regions, AT).collect()}
+    assert set(got) == {"1", "2", "4"}
+    assert (got["1"].city, got["1"].orders, got["1"].currency, got["1"].time_submit) == ("Unknown", "Unknown", "Unknown", None)
+    assert (got["4"].specialty, got["4"].currency, got["4"].utm_source) == ("sp", "USD", "q")
 
 
 def test_source_predicates_and_parsed_ids(spark):

@@ -11,12 +11,14 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martkit.functions.keys import surrogate_key
+from martkit.plans import landing, silver
 from martkit.sources import load
 from martkit.sources.quality import freshness
-from martkit.sources.tables import read_sheet, read_table
+from martkit.sources.tables import read_sheet, read_table, seed
 
 from .column_steps import query
-from .standins import raw, raw_sql, table
+from .standins import CONTEXT, raw, raw_sql, table
 
 START, END = date(1997, 3, 1), date(1998, 2, 28)
 
@@ -154,3 +156,53 @@ def landed_table(spark, sf):
     root = workspace(spark)
     load.full_refresh(raw(spark, sf, "a_campaign_dim"), f"{root}/a_campaign_dim")
     return read_table(spark, root, "a_campaign_dim").select("campaign_id", "status", "serving_status", "end_date")
+
+
+# Two regions: the second has other column names, one currency and a longer list of sources.
+_EXPLICIT, _AMBIGUOUS, _MEDIUMS = ("SourceA", "a_ads"), ("SOURCEB",), ("cpc", " Paid ")
+_SECOND = {"id_commande": "id_customer", "date_submit": "registration", "date_time_submit": "ordered_at",
+           "total_ht": "amount", "specialty": "speciality"}
+
+
+def _regions(spark, sf) -> list[landing.CrmRegion]:
+    orders = raw(spark, sf, "crm_orders").withColumns({
+        "new_customer": F.coalesce("new_customer", F.lit("NaN")), "total_ht": F.col("total_ht").try_cast("double")})
+    second = orders.where("region = 'AMERICA'").withColumnsRenamed(_SECOND).drop("currency")
+    return [landing.CrmRegion(orders.where("region <> 'AMERICA'"), _EXPLICIT, _AMBIGUOUS, _MEDIUMS),
+            landing.CrmRegion(second, _EXPLICIT, (*_AMBIGUOUS, "b.example"), _MEDIUMS, _SECOND, {"currency": "USD"})]
+
+
+@query(f"""SELECT id_commande, date_submit, utm_source, utm_medium, specialty, coalesce(new_customer, 'Unknown') AS new_customer,
+  CASE WHEN region = 'AMERICA' THEN 'USD' ELSE currency END AS currency, TRY_CAST(total_ht AS DOUBLE) AS total_ht
+FROM ({raw_sql('crm_orders')}) WHERE utm_source IN ('SourceA', 'a_ads') OR (utm_medium IN ('cpc', ' Paid ')
+  AND (utm_source = 'SOURCEB' OR (utm_source = 'b.example' AND region = 'AMERICA')))""")
+def landed_crm(spark, sf):
+    """Landed by a full refresh and read back by the declared schema."""
+    root = workspace(spark)
+    load.full_refresh(landing.land_crm(_regions(spark, sf), datetime(2024, 5, 1, 6)), f"{root}/crm_orders")
+    return read_table(spark, root, "crm_orders").select("id_commande", "date_submit", "utm_source", "utm_medium", "specialty",
+                                                        "new_customer", "currency", F.col("total_ht").cast("double"))
+
+
+@query(f"""SELECT lower(trim(utm_source)) AS utm_source, count(*) AS n_orders FROM ({raw_sql('crm_orders')})
+WHERE lower(trim(utm_source)) NOT IN ('sourcea', 'a_ads', 'sourceb', 'b.example') GROUP BY 1""")
+def crm_dropped_sources(spark, sf):
+    return silver.crm_dropped_sources(raw(spark, sf, "crm_orders"), CONTEXT)
+
+
+@query("""SELECT n_name, CASE n_regionkey WHEN 0 THEN 'south' WHEN 1 THEN 'west' END AS side FROM nation""")
+def seed_rows(spark, sf):
+    sides = seed(spark, [(0, "south"), (1, "west")], "n_regionkey long, side string")
+    nations = table(spark, sf, "nation").withColumn("n_regionkey", F.col("n_regionkey").cast("long"))
+    return nations.join(sides, "n_regionkey", "left").select("n_name", "side")
+
+
+@query("""WITH k AS (SELECT o_custkey, nullif(o_orderstatus, 'P') AS status, CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT count(DISTINCT (o_custkey, status, day)) FILTER (status IS NOT NULL) AS n_ids,
+  count(*) FILTER (status IS NULL) AS n_missing, count(*) AS n_rows FROM k""")
+def surrogate_ids(spark, sf):
+    """The 64-bit keys are as many as their tuples, and missing where a part is."""
+    rows = table(spark, sf, "orders").select(surrogate_key(
+        "o_custkey", F.nullif("o_orderstatus", F.lit("P")), F.to_date("o_orderdate")).alias("id"))
+    return rows.agg(F.count_distinct("id").alias("n_ids"), F.count_if(F.col("id").isNull()).alias("n_missing"),
+                    F.count(F.lit(1)).alias("n_rows"))
