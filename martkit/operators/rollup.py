@@ -17,7 +17,11 @@ def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Seque
     """SUM measures, MAX dependent attributes, ratios from the sums.
 
     Sums combine before the shuffle, so hot keys cost one row per map task.
+    MAX over text would sort every row; grouped with the attributes first, rows
+    are hashed, and only the few groups per key are sorted.
     """
+    if attrs:
+        df = df.groupBy(*keys, *attrs).agg(*[F.sum(c).alias(c) for c in sums])
     out = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in attrs])
     return out.withColumns({name: ratio(n, d) for name, (n, d) in (ratios or {}).items()})
 
