@@ -12,12 +12,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martkit.functions.keys import surrogate_key
-from martkit.plans import landing, silver
+from martkit.plans import build, landing, silver
 from martkit.sources import load
 from martkit.sources.quality import freshness
 from martkit.sources.tables import read_sheet, read_table, seed
 
+from . import oracle
 from .column_steps import query
+from .marts import Models
 from .standins import CONTEXT, raw, raw_sql, table
 
 START, END = date(1997, 3, 1), date(1998, 2, 28)
@@ -206,3 +208,29 @@ def surrogate_ids(spark, sf):
         "o_custkey", F.nullif("o_orderstatus", F.lit("P")), F.to_date("o_orderdate")).alias("id"))
     return rows.agg(F.count_distinct("id").alias("n_ids"), F.count_if(F.col("id").isNull()).alias("n_missing"),
                     F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(f"""SELECT CAST(date_trunc('month', date) AS DATE) AS date, account_id, campaign_id, cost_micros, clicks
+FROM ({raw_sql('a_campaign_performance')}) WHERE date < DATE '2002-01-01'""")
+def incremental_load(spark, sf):
+    """The first load up to a day, then the next window, which reads the last weeks again."""
+    root, rows = workspace(spark), raw(spark, sf, "a_campaign_performance").withColumn("date", F.trunc("date", "MM"))
+    accounts = [str(i) for i in range(25)]
+
+    def extract(start, end):
+        return rows.where(F.col("date").between(F.lit(start), F.lit(end)) & F.col("account_id").isin(accounts))
+
+    for today in (date(1999, 6, 1), date(2001, 12, 31)):
+        build.load_increment(spark, root, "a_campaign_performance", extract, accounts, date(1970, 1, 1), today)
+    return read_table(spark, root, "a_campaign_performance").select("date", "account_id", "campaign_id", "cost_micros", "clicks")
+
+
+@query(f"SELECT platform, campaign_id, event_name, cost, impressions, clicks FROM ({oracle.mart_campaign()})")
+def materialized_campaign(spark, sf):
+    """The mart written by month, sorted by its keys, and read back."""
+    class Monthly(Models):
+        def campaign_mart(self):
+            return super().campaign_mart().withColumn("date", F.trunc("date", "MM"))
+
+    mart = Monthly(spark, sf).write("campaign", workspace(spark))
+    return mart.select("platform", "campaign_id", "event_name", "cost", "impressions", "clicks")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martkit.operators.editions import Editions, prepare_editions
-from martkit.plans import gold, measures, silver
+from martkit.plans import gold, measures
+from martkit.plans.build import Build
 
 from . import oracle
 from .standins import CONTEXT, raw
@@ -20,89 +21,12 @@ def editions(spark: SparkSession, sf: str) -> Editions:
     return prepare_editions(raw(spark, sf, "calendar"), CONTEXT.edition_rules, CONTEXT.window_days, CONTEXT.bound)
 
 
-class Models:
-    """The silver models of one build; shared small sides are prepared once."""
+class Models(Build):
+    """The build on stand-ins; one table stands for the two conversion reports of platform B."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        self._spark, self._sf, self._cache = spark, sf, {}
-
-    def raw(self, name: str) -> DataFrame:
-        return raw(self._spark, self._sf, name)
-
-    def _once(self, key: str, build):
-        if key not in self._cache:
-            self._cache[key] = build()
-        return self._cache[key]
-
-    def _inputs(self, platform: str) -> silver.Inputs:
-        ed = self._once("editions", lambda: editions(self._spark, self._sf))
-        if platform == "a":
-            states = self._once("a", lambda: silver.states_a(self.raw("a_campaign_dim"), CONTEXT))
-        else:
-            states = self._once("b", lambda: silver.states_b(self.raw("b_campaign_dim"), CONTEXT))
-        return silver.Inputs(ed, states)
-
-    def a_campaign(self):
-        return silver.a_campaign_performance(self.raw("a_campaign_performance"), self._inputs("a"), CONTEXT)
-
-    def a_conversion(self):
-        return silver.a_conversion_action(self.raw("a_conversion_action"), self._inputs("a"), CONTEXT)
-
-    def a_performance(self):
-        return silver.a_performance(self.raw("a_performance"), self._inputs("a"), CONTEXT)
-
-    def a_demographics(self):
-        return silver.a_demographics(self.raw("a_age_range"), self.raw("a_gender"), self._inputs("a"), CONTEXT)
-
-    def a_demo_conversions(self):
-        return silver.a_demographic_conversions(self.raw("a_age_conversions"), self.raw("a_gender_conversions"),
-                                                self._inputs("a"), CONTEXT)
-
-    def a_geo(self):
-        return silver.a_geo(self.raw("a_geo"), self.raw("a_geo_restricted"), self.raw("geo_targets"),
-                            self._inputs("a"), CONTEXT)
-
-    def a_user_location(self):
-        return silver.a_user_location(self.raw("a_user_location_conversions"), self.raw("geo_targets"),
-                                      self._inputs("a"), CONTEXT)
-
-    def a_search_terms(self):
-        ed = self._once("editions", lambda: editions(self._spark, self._sf))
-        return silver.a_search_terms(self.raw("a_search_terms"), silver.Inputs(ed), CONTEXT)
-
-    def b_performance(self):
-        return silver.b_performance(self.raw("b_performance"), self._inputs("b"), CONTEXT)
-
-    def b_creative(self):
-        return silver.b_creative_performance(self.raw("b_performance"), self.raw("b_ad_dim"),
-                                             self.raw("b_creative_dim"), self._inputs("b"), CONTEXT)
-
-    def b_conversion(self):
-        return silver.b_conversion_action(self.raw("b_conversion_action"), self._inputs("b"), CONTEXT)
-
-    def b_demographics(self):
-        return silver.b_demographics(self.raw("b_age_gender"), self._inputs("b"), CONTEXT)
-
-    def b_demo_conversions(self):
-        return silver.b_demographic_conversions(self.raw("b_events"), self._inputs("b"), CONTEXT)
-
-    def b_geo(self):
-        return silver.b_geo(self.raw("b_region"), self._inputs("b"), CONTEXT)
-
-    def b_geo_conversions(self):
-        return silver.b_geo_conversions(self.raw("b_events"), self._inputs("b"), CONTEXT)
-
-    def crm(self):
-        return silver.crm_conversions(self.raw("crm_orders"), CONTEXT)
-
-    def ad_mart(self):
-        return gold.ad_mart(self.a_performance(), self.b_performance(), CONTEXT)
-
-    def phrase_source(self):
-        return gold.phrase_source(self.a_search_terms(), self.b_creative(), CONTEXT)
-
-    def roi_mart(self):
-        return gold.roi_mart(self.ad_mart(), self.crm(), CONTEXT)
+        alias = {"b_age_gender_conversions": "b_events", "b_country": "b_events"}
+        super().__init__(lambda name: raw(spark, sf, alias.get(name, name)), CONTEXT)
 
 
 def _silver(name: str) -> Query:
@@ -111,13 +35,11 @@ def _silver(name: str) -> Query:
 
 
 def campaign(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.campaign_mart(m.a_campaign(), m.b_performance(), CONTEXT).drop("unique_id")
+    return Models(spark, sf).campaign_mart().drop("unique_id")
 
 
 def conversion(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.conversion_mart(m.a_conversion(), m.b_conversion(), CONTEXT).drop("unique_id")
+    return Models(spark, sf).conversion_mart().drop("unique_id")
 
 
 def ad(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,24 +47,19 @@ def ad(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def demographics(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.demographics_mart(m.a_demographics(), m.b_demographics(), CONTEXT).drop("unique_id")
+    return Models(spark, sf).demographics_mart().drop("unique_id")
 
 
 def geo(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.geo_mart(m.a_geo(), m.b_geo(), m.raw("countries"), CONTEXT).drop("unique_id")
+    return Models(spark, sf).geo_mart().drop("unique_id")
 
 
 def targeted_geo(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.targeted_geo_mart(m.a_user_location(), m.b_geo_conversions(), m.raw("countries"),
-                                  CONTEXT).drop("unique_id")
+    return Models(spark, sf).targeted_geo_mart().drop("unique_id")
 
 
 def phrases(spark: SparkSession, sf: str) -> DataFrame:
-    m = Models(spark, sf)
-    return gold.phrase_mart(m.a_search_terms(), m.b_creative(), CONTEXT).drop("id")
+    return Models(spark, sf).phrases_mart().drop("id")
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
