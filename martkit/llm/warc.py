@@ -192,6 +192,7 @@ def records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The records of all files that the manifest names, digests checked."""
+    ship(spark)
     folder = folder.rstrip("/")
     listed = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file", "bytes")
     found = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
