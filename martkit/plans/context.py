@@ -38,6 +38,7 @@ class Context:
     platform_b: str = "Platform B"
     account_rules: tuple[Rule, ...] = ()
     campaign_rules: tuple[Rule, ...] = ()
+    # Labels of rows that no rule names.
     campaign_default: str = "Other/Unmapped"
     edition_rules: tuple[EditionRule, ...] = ()
     window_days: int = 400

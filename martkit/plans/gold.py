@@ -23,6 +23,7 @@ def _schema(*ddl: str) -> Schema:
     return tuple(tuple(part.strip().rsplit(" ", 1)) for text in ddl for part in text.split(","))
 
 
+# Names, types and order of the mart columns.
 _DATES = "unique_id bigint, platform string, date date, year int, month int, day int, week_display string"
 _SORT = "week_number int, week_number_to_sort int, weeks_left string"
 _EVENT = "event_name string, event_edition string, account_id string, account_name string"

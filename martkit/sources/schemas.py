@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+# Names and types of the landed columns.
 _KEY = ("date date, account_id string, account_name string, campaign_id string, campaign_name string, "
         "campaign_status string")
 _ADG = "ad_group_id string, ad_group_name string"
@@ -135,6 +136,14 @@ CLUSTER: dict[str, tuple[str, ...]] = {
     "b_device": ("account_id", "campaign_id", "device"),
     "b_hourly": ("account_id", "campaign_id", "hour_of_day"),
     "b_position": ("account_id", "campaign_id", "publisher_platform"),
+    "a_user_location": ("account_id", "campaign_id", "ad_group_id", "user_geo_criterion_id"),
+    "a_user_location_conversions": ("account_id", "campaign_id", "conversion_action_name", "user_geo_criterion_id"),
+    "a_audience": ("account_id", "campaign_id", "audience_criterion_id"),
+    "a_placement": ("account_id", "campaign_id", "ad_group_id", "placement_resource_name"),
+    "a_landing_page": ("account_id", "campaign_id", "ad_group_id"),
+    "a_campaign_asset": ("account_id", "campaign_id", "asset_group_id"),
+    "crm_orders": ("utm_source", "utm_medium", "utm_campaign", "conference_series"),
+    "calendar_region1": ("conference_series", "year"),
 }
 DEFAULT_CLUSTER = ("account_id", "campaign_id")
 LOOKBACK_DAYS = 14
