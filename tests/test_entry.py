@@ -60,3 +60,21 @@ def test_marts_have_no_nested_loop_or_cartesian_join(spark, name):
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "cut_off_rate" in df.columns
+
+
+def test_few_jobs_run_while_a_mart_is_planned(spark):
+    context = spark.sparkContext
+    QUERIES["mart_geo"](spark, SF)  # opens the tables, which reads file footers
+    context.setJobGroup("plan of a mart", "")
+    try:
+        QUERIES["mart_geo"](spark, SF)
+        # the calendar and two campaign dimensions are counted once; an adaptive count is up to three jobs
+        assert len(context.statusTracker().getJobIdsForGroup("plan of a mart")) <= 9
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_fact_is_sorted_to_be_rolled_up(spark):
+    text = QUERIES["campaign_rollup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    first = text.rindex("HashAggregate")  # the aggregate next to the scan
+    assert "SortAggregate" not in text[first:]
