@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import bpe, mixing, quality, simhash, toxicity
+from martkit.llm import bpe, mixing, quality, similar, toxicity
 from martkit.llm.common import blank_words, n_blank_words, read, shared_dir
 from martkit.llm.queries import VOCABULARY
 
@@ -36,12 +36,12 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id.
 
-    Documents are linked if at least 80% of their 128 SimHash bits over 5-word shingles agree; a group is all that can be
-    reached over links. Of 128 bits, unrelated texts share so many once in 10^11 pairs.
+    Documents are linked if the Jaccard index of their distinct 5-word shingles is 0.8 or more; a group is all that can be
+    reached over links. Pairs are looked for by 128 SimHash bits of these shingles, then verified.
     """
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     radius = int(BITS * (1 - SIMILARITY) + 1e-9)
-    groups = simhash.near_groups(rows.select("_row", "doc_id", "text"), radius, SHINGLE, BITS)
+    groups = similar.similar_groups(rows.select("_row", "doc_id", "text"), SIMILARITY, radius, SHINGLE, BITS)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
     kept = groups.groupBy("component").agg(first.alias("_row")).select("_row")
     return rows.join(kept, "_row", "left_semi").drop("_row")

@@ -1,0 +1,144 @@
+"""Groups of texts by the exact Jaccard index of their shingles.
+
+A text is its set of distinct shingles; texts with equal sets are one. SimHash fingerprints of the sets are compared in
+tiles (`simhash`), but a pair within the radius is only a candidate: it is linked if the Jaccard index of the two sets
+reaches the limit. The sets lie in files of the shared folder, and a group of tiles reads those of its candidates only, so
+neither candidates nor sets are shuffled. A candidate whose texts are joined already is not read.
+
+Defined results: shingles are told apart by 64-bit hashes; texts without words (NULL too) are one set, linked to no other.
+A pair at the limit whose fingerprints differ in more than the radius is missed.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from . import simhash
+from .common import cut, shared_dir, ship
+
+BLOCK = 65_536  #: sets per block, about
+CACHE = 64 << 20  #: bytes of sets that a group keeps
+HEX = 32  #: letters of a set's name, of its place and size
+KNOWN = 1 << 20  #: names that a writer remembers
+
+
+def shingle_set(text: str | None, width: int, bits: int) -> tuple[str, str, np.ndarray]:
+    """Fingerprint, name and sorted hashes of the distinct shingles."""
+    distinct = sorted(set(simhash.shingled(text, width)))
+    ids = np.unique(np.fromiter((xxhash.xxh64_intdigest(x, simhash.HASH_SEED) for x in distinct), np.uint64, len(distinct)))
+    fingerprint = simhash._bits(distinct, bits) if distinct else "0" * (bits // 4)
+    return fingerprint, xxhash.xxh128_hexdigest(ids.tobytes()), ids
+
+
+@dataclass(frozen=True)
+class Sets:
+    """Sets in the files of a folder; a record is fingerprint, name, size, place (16 hex letters each) and file."""
+
+    folder: str
+    limit: float
+    bits: int
+
+    def write(self, texts: Iterator[pa.Array], width: int) -> Iterator[pa.Array]:
+        """Records of texts; each set is written once per file, as long as it is remembered."""
+        files, path = pafs.FileSystem.from_uri(self.folder)
+        files.create_dir(path, recursive=True)
+        file, known, at = uuid.uuid4().hex[:16], {}, 0
+        with files.open_output_stream(f"{path}/{file}", compression=None) as stream:
+            for part in texts:
+                out = []
+                for t in part:
+                    fingerprint, name, ids = shingle_set(t.as_py(), width, self.bits)
+                    record = known.get(name)
+                    if record is None:
+                        if len(known) >= KNOWN:
+                            known.clear()
+                        record = known[name] = f"{fingerprint}{name}{len(ids):016x}{at:016x}{file}"
+                        stream.write(ids.tobytes())
+                        at += ids.nbytes
+                    out.append(record)
+                # what was written is readable when the records are, as the stream closes before the task ends
+                yield pa.array(out, pa.string())
+
+    def open(self, records: list[str]) -> tuple[list[str], Reader]:
+        start = self.bits // 4
+        return [r[start:start + HEX] for r in records], Reader(self, [r[start + HEX:] for r in records])
+
+    def drop(self) -> None:
+        files, path = pafs.FileSystem.from_uri(self.folder)
+        if files.get_file_info(path).type == pafs.FileType.Directory:
+            files.delete_dir(path)
+
+
+class Reader:
+    """Tests pairs of a group's sets."""
+
+    def __init__(self, sets: Sets, places: list[str]) -> None:
+        self.places, self.limit = places, sets.limit
+        self.size = np.fromiter((int(p[:16], 16) for p in places), np.int64, len(places))
+        self.files, self.path = pafs.FileSystem.from_uri(sets.folder)
+        self.handles, self.cache, self.bytes = {}, {}, 0
+
+    def ids(self, i: int) -> np.ndarray:
+        found = self.cache.get(i)
+        if found is None:
+            at, file = int(self.places[i][16:32], 16), self.places[i][32:]
+            if file not in self.handles:
+                if len(self.handles) >= 256:
+                    self.handles.clear()
+                self.handles[file] = self.files.open_input_file(f"{self.path}/{file}")
+            found = np.frombuffer(self.handles[file].read_at(8 * int(self.size[i]), at), np.uint64)
+            if self.bytes > CACHE:
+                self.cache.clear()
+                self.bytes = 0
+            self.cache[i] = found
+            self.bytes += found.nbytes
+        return found
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        # sets of too different sizes need not be read
+        low, high = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        good = low >= self.limit * high - 1e-9
+        for k in np.flatnonzero(good):
+            common = len(np.intersect1d(self.ids(int(a[k])), self.ids(int(b[k])), assume_unique=True))
+            good[k] = common >= self.limit * (low[k] + high[k] - common) - 1e-9
+        return good
+
+
+def similar_groups(docs: DataFrame, limit: float, radius: int, width: int, bits: int = 128, text: str = "text") -> DataFrame:
+    """Adds component, the smallest set name reachable over links, to narrow columns of docs."""
+    spark = docs.sparkSession
+    ship(spark)
+    sets = Sets(f"{shared_dir(spark)}/sets-{uuid.uuid4().hex}", limit, bits)
+    others = [c for c in docs.columns if c != text]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = []
+
+        def texts() -> Iterator[pa.Array]:
+            for batch in batches:
+                waiting.append(batch)
+                yield batch.column(len(others))
+
+        for records in sets.write(texts(), width):
+            batch = waiting.pop()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], records], names=[*others, "_record"])
+
+    rows = docs.select(*others, text)
+    schema = StructType([*rows.schema.fields[:-1], StructField("_record", StringType())])
+    rows = cut(rows.mapInArrow(write, schema)).withColumn("_name", F.substring("_record", bits // 4 + 1, HEX))
+    one = rows.groupBy("_name").agg(F.min("_record").alias("record"))
+    prints = one.select("record", F.substring("record", 1, bits // 4).alias("fingerprint"))
+    tree = simhash.components(simhash.linked(prints, radius, BLOCK, sets)).toDF("_node", "_root")
+    sets.drop()  # all links are in the checkpoint of the components
+    joined = rows.join(tree, rows["_name"] == tree["_node"], "left")
+    return joined.withColumn("component", F.coalesce("_root", "_name")).drop("_node", "_root", "_name", "_record")

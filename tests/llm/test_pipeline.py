@@ -58,6 +58,18 @@ def test_near_copies_go_and_clean_documents_stay(spark, table):
     assert pipeline.distinct(spark, docs.limit(0), SF).count() == 0
 
 
+def shingle_jaccard(a, b):
+    a, b = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split())]
+    return len(a & b) / len(a | b)
+
+
+def test_texts_that_share_a_repeated_line_stay(spark, table):
+    line = " ".join(f"common{i}" for i in range(10))
+    texts = [("\n" + line + "\n").join([" ".join(article(i, 350).split()[k::20]) for k in range(20)] + [""]) for i in range(12)]
+    assert shingle_jaccard(texts[0], texts[1]) < 0.1
+    assert {r.doc_id for r in pipeline.distinct(spark, table(texts), SF).collect()} == set(range(12))
+
+
 def test_quality_keeps_prose_and_extra_columns(spark, table):
     docs = table([article(1), "short", "### " * 200, article(2)], extra=True)
     out = pipeline.good(spark, docs, SF).collect()
