@@ -70,6 +70,18 @@ def test_texts_that_share_a_repeated_line_stay(spark, table):
     assert {r.doc_id for r in pipeline.distinct(spark, table(texts), SF).collect()} == set(range(12))
 
 
+def test_only_pairs_at_the_limit_go(spark, table):
+    # pairs 0 to 59 share a passage that makes them just near enough, pairs 60 to 99 one that does not
+    texts = []
+    for k in range(100):
+        a, b = article(k, 400).split(), article(1000 + k, 400).split()
+        shared = 357 if k < 60 else 355 - 2 * (k - 60)
+        texts += [" ".join(a), " ".join(a[:shared] + b[shared:])]
+        assert (shingle_jaccard(*texts[-2:]) >= 0.8) == (k < 60)
+    kept = {r.doc_id for r in pipeline.distinct(spark, table(texts), SF).collect()}
+    assert kept == {i for i in range(200) if i % 2 == 0 or i >= 120}
+
+
 def test_quality_keeps_prose_and_extra_columns(spark, table):
     docs = table([article(1), "short", "### " * 200, article(2)], extra=True)
     out = pipeline.good(spark, docs, SF).collect()
