@@ -1,8 +1,8 @@
 """From raw documents to token ids: toxicity, quality, near-duplicates, source mix, BPE.
 
-Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept. `docs` must be a table that
-reads the same each time, such as Parquet files: rows are numbered by their place in it. Stages 1 to 4 return the columns
-of their input. Columns of any name may ride along; columns doc_id, text, source and n_chars are used.
+Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept. Rows are
+numbered once, in a copy in the shared folder, where a stage joins them later. Stages 1 to 4 return the columns of their
+input. Columns of any name may ride along; columns doc_id, text, source and n_chars are used.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import bpe, mixing, quality, similar, toxicity
-from martkit.llm.common import blank_words, n_blank_words, read, shared_dir
+from martkit.llm.common import blank_words, n_blank_words, numbered, read, shared_dir
 from martkit.llm.queries import VOCABULARY
 
 SIMILARITY, SHINGLE, BITS = 0.8, 5, 128
@@ -40,7 +40,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents are linked if the Jaccard index of their distinct 5-word shingles is 0.8 or more; a group is all that can be
     reached over links. Pairs are looked for by 128 SimHash bits of these shingles, then verified.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered(docs, "_row")
     groups = similar.similar_groups(rows.select("_row", "doc_id", "text"), SIMILARITY, RADIUS, SHINGLE, BITS)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
     kept = groups.groupBy("component").agg(first.alias("_row")).select("_row")
@@ -52,7 +52,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A turn that takes part of a document, one per source, has its first words, joined by spaces.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered(docs, "_row")
     sizes = rows.select(F.col("_row").alias("row"), "doc_id", "source", n_blank_words(F.col("text")).alias("size"))
     taken = mixing.mix(sizes).where("taken > 0").select(
         F.col("row").alias("_row"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +44,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Rows with a unique number, written to the shared folder once, so that every reader sees the same numbers."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/numbered-{uuid.uuid4().hex}"
+    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def blank_words(text: Column) -> Column:
     """Words between ASCII white space; NULL and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

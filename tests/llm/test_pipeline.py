@@ -3,6 +3,8 @@
 import os
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,25 @@ def test_only_pairs_at_the_limit_go(spark, table):
     assert kept == {i for i in range(200) if i % 2 == 0 or i >= 120}
 
 
+def moving(spark, docs):
+    """The same rows, dealt otherwise each time they are read."""
+    @F.pandas_udf("int")
+    def place(i: pd.Series) -> pd.Series:
+        return pd.Series(np.random.default_rng().integers(0, 8, len(i)), dtype="int32")
+
+    return docs.repartition(8, place.asNondeterministic()("doc_id"))
+
+
+def test_rows_keep_their_numbers_when_read_otherwise(spark, table):
+    texts = [article(i, 100) for i in range(30)]
+    docs = moving(spark, table(texts + texts))
+    kept = sorted(r.text for r in pipeline.distinct(spark, docs, SF).collect())
+    assert kept == sorted(texts)
+    sizes = [article(i, 60 + i) for i in range(30)]
+    mixed = pipeline.mixed(spark, moving(spark, table(sizes)), SF).collect()
+    assert abs(sum(len(r.text.split()) for r in mixed) - 1.5 * sum(len(t.split()) for t in sizes)) <= 2
+
+
 def test_quality_keeps_prose_and_extra_columns(spark, table):
     docs = table([article(1), "short", "### " * 200, article(2)], extra=True)
     out = pipeline.good(spark, docs, SF).collect()
