@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import cut, ship
 
 SLOTS, FACTORS, PREFIX = 1 << 18, 4, 4
 WORD = re.compile(r"\w+")
@@ -28,7 +28,7 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class Sample:
-    """Most labelled rows of each class that the machine is fitted on."""
+    """Most labelled rows of each class that the machine is fitted on; the same share of both is taken."""
 
     toxic: int = 6_000
     clean: int = 14_000
@@ -138,10 +138,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mach
     """Fit on labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     ship(docs.sparkSession)
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    usable = usable.select("doc_id", "toxic")
-    mixed = [usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-             for c, n in ((1, sample.toxic), (0, sample.clean))]
-    chosen = mixed[0].unionAll(mixed[1]).distinct()  # bounded by the sample
+    usable = cut(usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct())
+    there = dict(usable.groupBy("toxic").count().collect())  # two rows
+    some = [(c, there.get(c, 0), most) for c, most in ((1, sample.toxic), (0, sample.clean))]
+    # one share of both classes, so that they keep their ratio
+    num, den = min(((most, n) for _, n, most in some if n > most), key=lambda r: r[0] / r[1], default=(1, 1))
+    mixed = [usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(-(-n * num // den))
+             for c, n, _ in some]
+    chosen = mixed[0].unionAll(mixed[1])  # bounded by the sample
 
     @F.arrow_udf("array<int>")
     def terms(texts: pa.Array) -> pa.Array:

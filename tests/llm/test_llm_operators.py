@@ -184,6 +184,23 @@ def test_held_out_accuracy_and_odd_texts(spark):
     assert {r.predicted for r in toxicity.judge(docs, labels.limit(0)).collect()} == {0}
 
 
+def fitted_on(monkeypatch, docs, labels, sample):
+    """Labels and term lists of the rows that the machine is fitted on."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda ids, size, label: seen.append((size, label)))
+    toxicity.train(docs, labels, sample)
+    return seen[0]
+
+
+def test_sample_keeps_the_ratio_of_the_classes(spark, monkeypatch):
+    docs = documents(spark, [f"word{i} and more" for i in range(2000)])
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    for sample in (toxicity.Sample(6000, 14000), toxicity.Sample(100, 400), toxicity.Sample(40, 1400)):
+        size, label = fitted_on(monkeypatch, docs, labels, sample)
+        assert abs(label.mean() - 0.1) < 0.015 and label.sum() <= sample.toxic and (1 - label).sum() <= sample.clean
+        assert len(label) > 350
+
+
 # quality
 
 def test_measures_by_hand(spark):
