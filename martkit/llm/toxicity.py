@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import cut, ship
 
 SLOTS, FACTORS, PREFIX = 1 << 18, 4, 4
+LENGTH = 12.0  #: largest norm of a document's input values
 WORD = re.compile(r"\w+")
 
 
@@ -43,9 +44,7 @@ class Machine:
 
     def score(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Scores of documents whose term slots lie one after another, `size` for each."""
-        doc, x = np.repeat(np.arange(len(size)), size), self.value[ids]
-        there = x != 0
-        doc, x, ids = doc[there], x[there], ids[there]
+        doc, ids, x = inputs(self.value, ids, size)
         total = self.bias + np.bincount(doc, self.weight[ids] * x, len(size))
         for f in range(self.factor.shape[1]):
             v = self.factor[ids, f] * x
@@ -79,15 +78,27 @@ def _slots(texts: pa.Array, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in lists for i in x), np.int64, int(size.sum())), size
 
 
-def values(ids: np.ndarray, size: np.ndarray, label: np.ndarray, prior: float = 5.0, least: float = 0.5) -> np.ndarray:
+def inputs(value: np.ndarray, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, slot and value of each term that takes part; documents longer than `LENGTH` are scaled down to it."""
+    doc, x = np.repeat(np.arange(len(size)), size), value[ids]
+    there = x != 0
+    doc, ids, x = doc[there], ids[there], x[there]
+    norm = np.sqrt(np.bincount(doc, x * x, len(size)))
+    return doc, ids, x / np.maximum(1, norm / LENGTH)[doc]
+
+
+def values(ids: np.ndarray, size: np.ndarray, label: np.ndarray, prior: float = 5.0, least: float = 0.5,
+           floor: float = 0.25, often: int = 20) -> np.ndarray:
     """Input value of each slot: its log ratio of toxic documents to the base rate, shrunk by `prior` documents.
 
-    Slots near the base rate, such as those of rare words, get 0 and so take no part.
+    Slots near the base rate get `floor` at least, so that pairs can use them. Only those of less than `often` documents,
+    whose ratio says little, get 0 and so take no part.
     """
     base, doc = label.mean(), np.repeat(np.arange(len(size)), size)
     seen, toxic = np.bincount(ids, minlength=SLOTS), np.bincount(ids, label[doc], SLOTS)
     ratio = np.log((toxic + prior * base) / (seen + prior) / base)
-    return np.where((seen > 1) & (np.abs(ratio) >= least), np.abs(ratio), 0.0)
+    far = np.abs(ratio)
+    return np.where(seen >= often, np.maximum(far, floor), np.where((seen > 1) & (far >= least), far, 0.0))
 
 
 def fit(ids: np.ndarray, size: np.ndarray, label: np.ndarray, epochs: int = 12, rate: float = 0.1,
@@ -98,9 +109,8 @@ def fit(ids: np.ndarray, size: np.ndarray, label: np.ndarray, epochs: int = 12,
     if not label.any() or label.all():
         return Machine(-5.0 if not label.any() else 0.0, np.zeros(SLOTS), weight, factor * 0)
     value = values(ids, size, label)
-    kept = value[ids] > 0
-    size = np.bincount(np.repeat(np.arange(len(size)), size)[kept], minlength=len(size))
-    ids = ids[kept]
+    at, ids, inside = inputs(value, ids, size)
+    size = np.bincount(at, minlength=len(size))
     bias, past_b = float(np.log(label.mean() / (1 - label.mean()))), 1.0
     past_w, past_f = np.full(SLOTS, 1.0), np.full((SLOTS, FACTORS), 1.0)
     start = np.concatenate([[0], np.cumsum(size)])
@@ -108,8 +118,8 @@ def fit(ids: np.ndarray, size: np.ndarray, label: np.ndarray, epochs: int = 12,
         order = random.permutation(len(size))
         for i in range(0, len(order), batch):
             docs = order[i:i + batch]
-            flat = np.concatenate([ids[start[d]:start[d + 1]] for d in docs])
-            doc, x = np.repeat(np.arange(len(docs)), size[docs]), value[flat]
+            here = np.concatenate([np.arange(start[d], start[d + 1]) for d in docs])
+            flat, x, doc = ids[here], inside[here], np.repeat(np.arange(len(docs)), size[docs])
             used, at = np.unique(flat, return_inverse=True)
             v = factor[flat] * x[:, None]
             sums = np.stack([np.bincount(doc, v[:, f], len(docs)) for f in range(FACTORS)], 1)

@@ -171,6 +171,21 @@ def test_pairs_of_harmless_terms_are_learnt():
     assert (predicted == (label > 0)).mean() > 0.98
 
 
+@pytest.mark.parametrize("share, rule", [(0.8, lambda a, b: a and b), (0.5, lambda a, b: a != b)])
+def test_pairs_of_terms_near_the_base_rate_are_learnt(share, rule):
+    rng = random.Random(4)
+    texts, label = [], []
+    for _ in range(3000):
+        words = [f"w{rng.randrange(40)}" for _ in range(6)]
+        insult, group = rng.random() < 0.5, rng.random() < share
+        texts.append(" ".join(words + ["louse"] * insult + ["folk"] * group))
+        label.append(float(rule(insult, group)))
+    ids, size = toxicity._slots(pa.array(texts), toxicity.Terms())
+    label = np.array(label)
+    assert (label[2000:] == (toxicity.fit(ids[:size[:2000].sum()], size[:2000], label[:2000], epochs=20)
+                             .score(ids[size[:2000].sum():], size[2000:]) >= 0.5)).mean() > 0.98
+
+
 def test_held_out_accuracy_and_odd_texts(spark):
     rng = random.Random(6)
     texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(30)) + (" nasty brute" if i % 5 == 0 else "") for i in range(600)]
