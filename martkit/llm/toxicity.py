@@ -164,12 +164,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mach
                                         pa.array(ids, pa.int32()))
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # one text per id, whichever hashes lowest, so that the rows are bounded by the sample too
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     table = rows.select("doc_id", "toxic", terms("text").alias("ids")).toArrow()
     table = table.sort_by("doc_id").combine_chunks()
     lists = table["ids"].combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
     size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     label = table["toxic"].to_numpy().astype(float)
-    # equal copies of one id may come in any order; order by content as well
+    # an id with both labels comes twice, in any order; order by content as well
     start = np.concatenate([[0], np.cumsum(size)])
     ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     doc_id = table["doc_id"].to_numpy()

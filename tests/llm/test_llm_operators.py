@@ -216,6 +216,14 @@ def test_sample_keeps_the_ratio_of_the_classes(spark, monkeypatch):
         assert len(label) > 350
 
 
+def test_rows_of_one_id_are_one_row_of_the_sample(spark, monkeypatch):
+    docs = documents(spark, [f"word{i} and more" for i in range(50)])
+    many = spark.range(400).select(F.lit(7).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("copy"), "id").alias("text"))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(50)] + [(7, 0)] * 9, "doc_id long, toxic int")
+    size, _ = fitted_on(monkeypatch, docs.select("doc_id", "text").unionByName(many), labels, toxicity.Sample())
+    assert len(size) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(50))
+
+
 # quality
 
 def test_measures_by_hand(spark):
