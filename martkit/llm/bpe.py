@@ -4,8 +4,9 @@ The leaves of a word's tree hold (merge rank, position) of each adjacent pair, e
 children, so the root is the leftmost pair of lowest rank. A merge changes three leaves; their paths to the root are
 recomputed. The trees of many words lie in one array and advance together; a long word has a tree of its own.
 
-Each distinct word is encoded once per worker and kept in a dictionary that is emptied when full (this bounds memory,
-not results). Defined results: NULL and empty texts have no tokens and decode to "".
+A batch's distinct chunks between white space, and their distinct words, are encoded once and remembered in two
+generations (`words`). Chunks beyond Latin letters are cut by the tokenizer file's own normaliser and pattern, so they
+follow its Unicode tables. Defined results: NULL and empty texts have no tokens and decode to "".
 """
 
 from __future__ import annotations
@@ -13,24 +14,23 @@ from __future__ import annotations
 import gc
 import json
 import re
-import unicodedata
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from . import words
 from .common import ship
 
 SHIFT, END = 32, np.int64(1) << 62
+PAIR = 32  #: bits of an id in a pair
 LONG = 64  #: words of more symbols get a tree of their own
-CACHE = 300_000  #: words kept per worker
-#: Fixed value: the tokenizer's pattern.
-PIECES = regex.compile(r"[\p{L}]+|'(?:s|t|re|ve|m|ll|d)|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Fixed value: the tokenizer's pattern, for ASCII.
+PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
 
 
 def byte_letters() -> list[str]:
@@ -41,11 +41,6 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-def pieces(text: str) -> list[str]:
-    """Normalised text, cut into words; capital sigma has one lower-case form here, whatever its place."""
-    return PIECES.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-
-
 class Vocabulary:
     """A word-end BPE vocabulary: symbols of bytes, merges by pair, special tokens."""
 
@@ -56,8 +51,11 @@ class Vocabulary:
         self.inner = np.array([ids[c] for c in letters], np.int64)
         self.last = np.array([ids[c + suffix] for c in letters], np.int64)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.bytes = {c: b for b, c in enumerate(letters)}
+        tokenizer = Tokenizer.from_str(text)
+        self.normal, self.cutter = tokenizer.normalizer, tokenizer.pre_tokenizer
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        pairs = np.array([(ids[a] << 16) | ids[b] for a, b in merges], np.int64)
+        pairs = np.array([(ids[a] << PAIR) | ids[b] for a, b in merges], np.int64)
         made = np.array([ids[a + b] for a, b in merges], np.int64)
         order = np.argsort(pairs)
         self.pairs, self.ranks, self.made = pairs[order], order.astype(np.int64), made
@@ -66,9 +64,16 @@ class Vocabulary:
         self.names = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
         self.stop = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
 
+    def pieces(self, text: str) -> list[bytes]:
+        """Words of a text without special tokens."""
+        if text.isascii():
+            return [w.encode() for w in PLAIN.findall(text.lower())]
+        cut_up = self.cutter.pre_tokenize_str(self.normal.normalize_str(text))
+        return [bytes(map(self.bytes.__getitem__, w)) for w, _ in cut_up]
+
     def keys(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Leaf values of pairs: rank and position, or END where the pair does not merge."""
-        pair = (left << 16) | right
+        pair = (left << PAIR) | right
         i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         return np.where(self.pairs[i] == pair, (self.ranks[i] << SHIFT) | at, END)
 
@@ -118,7 +123,7 @@ class Vocabulary:
         nxt, prv, rank_of, made = list(range(1, n + 1)), list(range(-1, n - 1)), self.rank_of, self.made.tolist()
 
         def key(i: int, j: int) -> int:
-            rank = rank_of.get((sym[i] << 16) | sym[j])
+            rank = rank_of.get((sym[i] << PAIR) | sym[j])
             return end if rank is None else (rank << SHIFT) | i
 
         tree = [end] * (2 * room)
@@ -149,46 +154,50 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts by the vocabulary; remembers words."""
+    """Encodes texts by the vocabulary; remembers chunks and words."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.words = vocabulary, {}
-
-    def learn(self, words: set[str]) -> None:
-        """Encode words that are not known yet; a full dictionary is emptied first."""
-        if len(self.words) > CACHE:
-            self.words.clear()
-        by_room: dict[int, list[str]] = {}
-        for w in words - self.words.keys():
-            by_room.setdefault((len(w.encode()) - 1).bit_length(), []).append(w)
+        self.vocabulary = vocabulary
+        self.words, self.chunks = words.Store(self._trees), words.Store(self._cut)
+        self.special = {t: np.int32(i).tobytes() for t, i in vocabulary.special.items()}
+
+    def _trees(self, names: list[bytes]) -> list[bytes]:
+        """Ids of distinct words, those of like lengths in one array of trees."""
+        found: list[bytes] = [b""] * len(names)
+        by_room: dict[int, list[int]] = {}
+        for i, w in enumerate(names):
+            by_room.setdefault((len(w) - 1).bit_length(), []).append(i)
         for bits, group in by_room.items():
-            raw = [w.encode() for w in group]
-            if not bits:
-                self.words.update((w, (int(self.vocabulary.last[b[0]]),)) for w, b in zip(group, raw, strict=True))
-            elif 1 << bits > LONG:
-                self.words.update((w, tuple(self.vocabulary.grow_long(b))) for w, b in zip(group, raw, strict=True))
-            else:
-                step = (1 << 18) >> bits
-                for i in range(0, len(group), step):
-                    self.words.update(zip(group[i:i + step], self.vocabulary.grow(raw[i:i + step]), strict=True))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all texts one after another, and the number of each text's."""
-        special, parts, names = self.vocabulary.special, [], set()
-        for t in texts:
-            t, at, own = t or "", 0, []
-            for m in self.vocabulary.stop.finditer(t):
-                own += [*pieces(t[at:m.start()]), m[0]]
+            step = max(1, (1 << 18) >> bits)
+            for at in range(0, len(group), step):
+                part = group[at:at + step]
+                raw = [names[i] for i in part]
+                if not bits:
+                    ids = [[int(self.vocabulary.last[w[0]])] for w in raw]
+                elif 1 << bits > LONG:
+                    ids = map(self.vocabulary.grow_long, raw)
+                else:
+                    ids = self.vocabulary.grow(raw)
+                for i, own in zip(part, ids, strict=True):
+                    found[i] = np.array(own, np.int32).tobytes()
+        return found
+
+    def _cut(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks; special tokens in them are found first."""
+        stop, pieces, parts = self.vocabulary.stop, self.vocabulary.pieces, []
+        for chunk in chunks:
+            own, at = [], 0
+            for m in stop.finditer(chunk):
+                own += [*pieces(chunk[at:m.start()]), m[0]]
                 at = m.end()
-            own += pieces(t[at:] if at else t)
-            names.update(own)
-            parts.append(own)
-        self.learn(names - special.keys())
-        self.words.update((k, (v,)) for k, v in special.items())  # no word of a text holds a whole special token
-        known = self.words.__getitem__
-        ids = [list(chain.from_iterable(map(known, p))) for p in parts]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum())), count
+            parts.append(own + pieces(chunk[at:] if at else chunk))
+        names = list({w for own in parts for w in own if isinstance(w, bytes)})
+        known = dict(zip(names, self.words.get(names), strict=True)) | self.special
+        return [b"".join(map(known.__getitem__, own)) for own in parts]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts one after another, and the number of each text's."""
+        return words.encode(texts, self.chunks)
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -208,7 +217,7 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 
-def encode(text: Column, vocab, slice_rows: int = 500) -> Column:
+def encode(text: Column, vocab) -> Column:
     """Token ids of a text column as array<int>."""
 
     @F.arrow_udf("array<int>")
@@ -216,8 +225,8 @@ def encode(text: Column, vocab, slice_rows: int = 500) -> Column:
         encoder, values, counts = _encoder(vocab.value), [], []
         gc.disable()  # many small tuples and no cycles
         try:
-            for i in range(0, len(texts), slice_rows):
-                v, c = encoder.encode(texts.slice(i, slice_rows).to_pylist())
+            for part in words.slices(texts):
+                v, c = encoder.encode(part)
                 values.append(v)
                 counts.append(c)
         finally:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from pathlib import Path
 
@@ -26,15 +25,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, else (local runs only) a folder of this machine."""
+    """The folder that all executors share: spark.checkpoint.dir, else one below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        local = context.master.startswith("local")
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-") if local else f"{warehouse}/_checkpoints")
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return context.getCheckpointDir()
 
 
@@ -51,6 +48,30 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder as compressed Parquet, and read from there."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ordered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered 0, 1, 2 ... in `order`, which should end in a unique column; no task holds more than a range.
+
+    The rows are range-sorted and stored; a row's number is its place in its partition and the rows of those before.
+    `df` is read twice, once for the bounds of the ranges.
+    """
+    count = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = df.select(F.struct("*").alias("row"), F.struct(*order).alias("by")).repartitionByRange(count, "by")
+    rows = cut(rows.sortWithinPartitions("by").select("row", F.monotonically_increasing_id().alias("at")))
+    part = F.shiftright("at", 33)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = F.broadcast(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    placed = rows.join(starts, part == F.col("part"))
+    return placed.select("row.*", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+
+
 def blank_words(text: Column) -> Column:
     """Words between ASCII white space; NULL and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -184,3 +184,33 @@ got AS (SELECT r, sum(least(hi, (block + 1) * 2048) - greatest(lo, block * 2048)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot FROM laid LEFT JOIN got USING (r)
 """
 
+
+OP12 = rf"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(
+         list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}',
+         '{urls.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+goal AS (SELECT regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+dw AS (SELECT r, unnest(words) AS w FROM docs),
+gw AS (SELECT unnest(words) AS w FROM goal),
+raw AS (SELECT w, list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda x:
+            (strpos('0123456789ABCDEF', x[1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2]) - 1) AS b
+        FROM (SELECT w FROM dw UNION SELECT w FROM gw)),
+voc AS (SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x:
+            xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM raw, tab),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN voc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM gw JOIN voc USING (w) GROUP BY bucket),
+gain AS (SELECT u.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE)
+             / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+         FROM (SELECT bucket FROM s UNION SELECT bucket FROM t) u LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+sums AS (SELECT r, sum(gain) AS gain FROM dw JOIN voc USING (w) JOIN gain USING (bucket) GROUP BY r),
+rows AS (SELECT r, doc_id, len(words)::BIGINT AS n_features,
+                coalesce(floor(sums.gain / len(words)::DOUBLE), 0)::BIGINT AS weight,
+                ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM docs LEFT JOIN sums USING (r)),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM rows),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, r) AS place FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= floor((SELECT count(*) FROM placed) * 10 / 100) THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, oracles, parsing, quality, sharding, simhash, toxicity, urls, warc
+from . import (alignment, bpe, licenses, mixing, oracles, packing, parsing, quality, resampling, sharding, simhash, toxicity,
+               urls, warc)
 from .common import n_blank_words, read, shared_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -96,6 +97,27 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).drop("row", "source")
 
 
-QUERIES = {"op1_rendezvous": op1_rendezvous, "op2_simhash": op2_simhash, "op3_urls": op3_urls, "op4_parsing": op4_parsing, "op5_toxicity": op5_toxicity, "op6_quality": op6_quality, "op7_licenses": op7_licenses, "op8_warc": op8_warc, "op9_mix": op9_mix, "op10_bpe": op10_bpe}
+VOCABULARIES = alignment.Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                      public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens of two vocabularies of every whole text, and how its links agree with the corpus."""
+    return alignment.agreement(read(spark, sf_dir, "documents"), VOCABULARIES)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn by their likeness to the benchmark texts."""
+    return resampling.draw(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids in sequences of 2048."""
+    return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), VOCABULARY, with_ids=False))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_rendezvous, op2_simhash, op3_urls, op4_parsing, op5_toxicity, op6_quality, op7_licenses, op8_warc, op9_mix, op10_bpe,
+    op11_alignment, op12_resampling, op13_packing)}
 ORACLES = {"op1_rendezvous": oracles.OP1, "op3_urls": oracles.op3(URL_RULES), "op6_quality": oracles.OP6,
-           "op7_licenses": oracles.op7(), "op8_warc": oracles.OP8, "op9_mix": oracles.OP9}
+           "op7_licenses": oracles.op7(), "op8_warc": oracles.OP8, "op9_mix": oracles.OP9, "op12_resampling": oracles.OP12}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martkit.llm import bpe, licenses, mixing, parsing, quality, sharding, simhash, toxicity, urls, warc
+from martkit.llm import bpe, licenses, mixing, parsing, quality, sharding, simhash, toxicity, urls, warc, words
 from martkit.llm.queries import URL_RULES, VOCABULARY
 
 ODD = [None, "", " \n\t", "a", "é" * 50, "word " * 3000, "x" * 20_000, "same text here", "same text here"]
@@ -336,18 +336,33 @@ def test_segment_trees_merge_as_the_library_does():
     rng, letters = random.Random(1), "ab cde\u00e9'\u00dfst!?123\n\U0001f600\u00f1\u03a3\u0130\u65e5<|>\u0301\x1c\x85\u2028"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 150))) for _ in range(800)]
     texts += ["<|startoftext|>a<|endoftext|>", "a" * 3000, "!" * 500 + "th" * 400, "", None, "IT'S ''S \u0391\u03a3"]
-    flat, count = encoder.encode(texts)
+    flat, count = encoder.encode(pa.array(texts))
     at = 0
     for text, n in zip(texts, count, strict=True):
         assert flat[at:at + n].tolist() == library.encode(text or "", add_special_tokens=False).ids
         at += n
 
 
-def test_full_word_store_is_emptied_without_loss(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE", 3)
+def test_every_code_point_is_cut_as_the_library_does():
+    library, encoder = Tokenizer.from_file(VOCABULARY), bpe.Encoder(bpe.Vocabulary(open(VOCABULARY).read()))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b C{c} x" for c in points[:0x600]] + ["".join(points[i:i + 200]) for i in range(0, len(points), 200)]
+    flat, count = encoder.encode(pa.array(texts))
+    ends = np.cumsum(count)
+    for e, n, ids in zip(ends, count, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert flat[e - n:e].tolist() == ids.ids
+
+
+def test_full_stores_lose_nothing_and_keep_what_is_used():
     encoder, library = bpe.Encoder(bpe.Vocabulary(open(VOCABULARY).read())), Tokenizer.from_file(VOCABULARY)
-    for text in ("one two three four five", "five six seven one", "two <|endoftext|> two"):
-        assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    encoder.words.room = encoder.chunks.room = 3
+    for text in ("one two three four five", "five six seven one", "two <|endoftext|> two", "one"):
+        assert encoder.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    asked = []
+    store = words.Store(lambda names: asked.append(names) or [n.encode() for n in names], room=2)
+    for i in range(6):
+        assert store.get(["often", f"rare{i}"]) == [b"often", f"rare{i}".encode()]
+    assert sum("often" in names for names in asked) == 1
 
 
 def test_encode_and_decode_columns(spark):

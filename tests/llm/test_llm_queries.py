@@ -4,14 +4,17 @@ import base64
 import hashlib
 import math
 import os
+import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
-from martkit.llm import parsing, queries
+from martkit.llm import bpe, parsing, queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
@@ -93,6 +96,73 @@ def test_bpe_matches_the_library(spark):
             hashlib.sha256(decoded.encode()).hexdigest())
 
 
+def test_alignment_matches_token_by_token(spark):
+    got = {r.doc_id: r for r in queries.op11_alignment(spark, SF).collect()}
+    a = Tokenizer.from_file(queries.VOCABULARIES.bytewise)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=queries.VOCABULARIES.piecewise)
+    letters = {c: i for i, c in enumerate(bpe.byte_letters())}
+    held, counts = {}, Counter()
+    for r in table(spark, "documents"):
+        text = r.text or ""
+        left = a.encode(" " + text, add_special_tokens=False) if text else None
+        ids_a = left.ids if left else []
+        raw_a = [bytes(letters[c] for c in t) for t in left.tokens] if left else []
+        ids_b = b.encode(text) if text else []
+        names = [b.id_to_piece(i) for i in ids_b]
+        raw_b = [bytes([int(n[3:5], 16)]) if b.is_byte(i) else n.replace("\u2581", " ").encode() for i, n in zip(ids_b, names)]
+        if b"".join(raw_a) != (" " + text).encode() or b"".join(raw_b) != (" " + text).encode():
+            ids_a, ids_b, raw_a, raw_b = [], [], [], []
+        groups, links, i, j, at, own = [], [], 0, 0, [0, 0], ([], [])
+        while i < len(ids_a) or j < len(ids_b):
+            links.append((ids_a[i], ids_b[j]))
+            ends = at[0] + len(raw_a[i]), at[1] + len(raw_b[j])
+            if ends[0] <= ends[1]:
+                own[0].append(str(ids_a[i]))
+                i, at[0] = i + 1, ends[0]
+            if ends[1] <= ends[0]:
+                own[1].append(str(ids_b[j]))
+                j, at[1] = j + 1, ends[1]
+            if ends[0] == ends[1]:
+                groups.append(",".join(own[0]) + "|" + ",".join(own[1]))
+                own = ([], [])
+        held[r.doc_id] = (len(ids_a), len(ids_b), groups, links)
+        counts.update(links)
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(n, most.get(y, 0))
+    for key, (n_a, n_b, groups, links) in held.items():
+        r = got[key]
+        assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (n_a, n_b, len(groups), len(links))
+        assert r.groups_sha256 == (hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+        assert r.n_best == sum(counts[x] == most[x[1]] for x in links) and r.count_sum == sum(counts[x] for x in links)
+    assert len(got) == len(held)
+
+
+def test_packing_holds_every_id_once(spark):
+    rows = queries.op13_packing(spark, SF).collect()
+    library = Tokenizer.from_file(queries.VOCABULARY)
+    docs = {r.doc_id: [*library.encode(r.text or "", add_special_tokens=False).ids, 1] for r in table(spark, "documents")}
+    parts, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        ids = docs[r.doc_id]
+        assert r.doc_tokens == len(ids) and 1 <= r.length <= 2048
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start:r.start + r.length], "<u4").tobytes())
+        parts[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for key, ids in docs.items():
+        own = sorted(parts[key])
+        assert [s for s, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1]] and sum(n for _, n in own) == len(ids)
+    padding = 0
+    for own in sequences.values():
+        own.sort()
+        total = sum(n for _, n in own)
+        assert [o for o, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1]] and total <= 2048
+        padding += 0 if total & (total - 1) == 0 else 2048 - total
+    assert sorted(sequences) == list(range(len(sequences)))
+    assert padding <= 0.01 * sum(map(len, docs.values())) + 2048
+
+
 def test_toxicity_scores_every_document(spark):
     rows = queries.op5_toxicity(spark, SF).collect()
     assert len(rows) == len(table(spark, "documents"))
