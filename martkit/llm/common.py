@@ -72,6 +72,13 @@ def ordered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return placed.select("row.*", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
 
 
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join on one column; rows of a key are dealt to `salts` tasks, to each of which the key's right rows are copied."""
+    dealt = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))  # any salt will do
+    copied = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(copied, [on, "_salt"], how).drop("_salt")
+
+
 def blank_words(text: Column) -> Column:
     """Words between ASCII white space; NULL and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

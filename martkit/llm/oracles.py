@@ -37,15 +37,13 @@ _TOKENS = r"""list_sort(list_distinct(list_concat(
 
 
 def op3(rules: tuple[tuple[str, str], ...], mining: urls.Mining = urls.Mining()) -> str:
-    """Itemsets of up to `longest` tokens are counted by joining a url's tokens with themselves."""
+    """All sets of tokens of a labelled url are counted, each set by the bits of a number."""
     fits, says = [], []
     for rule, verdict in sorted(rules, key=lambda r: -len(r[0])):
         own, _, start = rule.partition("/")
         test = f"(host = '{own}' OR ends_with(host, '.{own}')) AND starts_with(path, '/{start}')"
         fits.append(f"WHEN {test} THEN '{rule}'")
         says.append(f"WHEN {test} THEN '{verdict}'")
-    if mining.longest != 3:
-        raise ValueError("written for three tokens")
     return rf"""
 WITH rest AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END
                   AS r FROM pages),
@@ -58,18 +56,16 @@ base AS (SELECT page_id, host, path, {_TOKENS} AS tokens, CASE {' '.join(fits)}
 learn AS (SELECT row_number() OVER () AS n, tokens, (quality = 0 OR toxic = 1) AS blocked FROM base JOIN labels ON
           doc_id = TRY_CAST(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:/|\.|$)', 1), '') AS BIGINT)
           WHERE (quality = 0 OR toxic = 1) IS NOT NULL),
-need AS (SELECT greatest(ceil(count(*) / {mining.part}.0), {mining.least}) AS least FROM learn),
-item AS (SELECT n, blocked, unnest(tokens) AS t FROM learn),
-sets AS (SELECT n, blocked, [t] AS s FROM item
-         UNION ALL SELECT a.n, a.blocked, [a.t, b.t] FROM item a JOIN item b ON a.n = b.n AND a.t < b.t
-         UNION ALL SELECT a.n, a.blocked, [a.t, b.t, c.t] FROM item a JOIN item b ON a.n = b.n AND a.t < b.t
-                   JOIN item c ON a.n = c.n AND b.t < c.t),
-rules AS (SELECT s, count(*) FILTER (blocked) / count(*) AS confidence FROM sets GROUP BY s
-          HAVING count(*) FILTER (blocked) >= (SELECT least FROM need)
+part AS (SELECT blocked, unnest(list_transform(range(1, 1::BIGINT << len(tokens)), lambda m:
+             list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1))) AS s FROM learn),
+sure AS (SELECT s, count(*) FILTER (blocked) / count(*) AS confidence FROM part GROUP BY s
+          HAVING count(*) FILTER (blocked) >= {mining.least}
              AND count(*) FILTER (blocked) / count(*) >= {mining.confidence}),
+rules AS (SELECT a.s, a.confidence FROM sure a WHERE NOT EXISTS (
+          SELECT 1 FROM sure b WHERE len(b.s) < len(a.s) AND list_has_all(a.s, b.s))),
 hit AS (SELECT tokens, max(confidence) AS confidence FROM (SELECT DISTINCT tokens FROM base WHERE rule IS NULL) p
         JOIN rules ON list_has_all(tokens, s) GROUP BY tokens)
-SELECT page_id, host, path, rule, confidence,
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN confidence END AS confidence,
        coalesce(says, CASE WHEN confidence IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM base LEFT JOIN hit USING (tokens)
 """

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martkit.llm import alignment, packing, resampling
+from martkit.llm import alignment, bpe, packing, resampling, urls
 from martkit.llm.common import ordered
 from martkit.llm.queries import VOCABULARIES, VOCABULARY
 
@@ -105,7 +105,7 @@ def test_alignment_of_odd_texts(spark, aligner):
             want.append((key, len(a), len(b), len(groups), len(links), digest, sum(counts[x] == most[x[1]] for x in links),
                          sum(counts[x] for x in links)))
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
-    spans = {r.text if False else r.doc_id: r for r in alignment.groups(docs, VOCABULARIES).collect()}
+    spans = {r.doc_id: r for r in alignment.groups(docs, VOCABULARIES).collect()}
     for key, t in every:
         a, b, groups, _ = plains[t]
         assert (spans[key].a, spans[key].b, [tuple(e) for e in spans[key].ends]) == (a, b, groups)
@@ -237,9 +237,45 @@ def test_hot_length_is_dealt_whole(spark):
 
 
 def test_stores_take_sliced_texts():
-    store = packing._store(open(VOCABULARY).read())
+    store = bpe._encoder(open(VOCABULARY).read()).chunks
     texts = pa.array(["skip me", None, "keep this  text", ""]).slice(1)
     ids, counts = packing.words.encode(texts, store)
     library = Tokenizer.from_file(VOCABULARY)
     assert ids.tolist() == library.encode("keep this text", add_special_tokens=False).ids and counts.tolist() == [0, len(ids), 0]
     assert [len(s) for s in packing.words.slices(pa.array(["aa", None, "bbb", "c"]), 3)] == [2, 1, 1]
+
+
+# url filters
+
+def plain_rules(rows, mining):
+    """Minimal confident sets of tokens among all subsets of all urls."""
+    seen = {}
+    for tokens, blocked in rows:
+        for m in range(1, 1 << len(tokens)):
+            key = frozenset(t for i, t in enumerate(tokens) if m >> i & 1)
+            n, bad = seen.get(key, (0, 0))
+            seen[key] = n + 1, bad + blocked
+    sure = {k: bad / n for k, (n, bad) in seen.items() if bad >= mining.least and bad >= mining.confidence * n}
+    return {k: c for k, c in sure.items() if not any(o < k for o in sure)}
+
+
+@pytest.mark.parametrize("clean", [1, 100])
+def test_mined_rules_equal_all_subsets(spark, clean):
+    rng, rows = random.Random(clean), []
+    for i in range(300):
+        names = [n for n in ("ads", "win", "cash", "free", "blog", "news") if rng.random() < 0.5]
+        rows.append(("/".join(names), {"ads", "win", "cash", "free"} <= set(names) or (rng.random() < 0.1)))
+    rows += [("blog/news/shop", False)] * 30 * clean + [("ads/ads2/spam/spam2", True)] * 7
+    df = spark.createDataFrame([(f"http://h.org/{p}", b) for p, b in rows], "url string, blocked boolean")
+    mining = urls.Mining(least=5, confidence=0.7)
+    want = plain_rules([(["host:h", "host:org", *sorted({f"path:{x}" for x in p.split("/") if x})], b) for p, b in rows], mining)
+    paths = sorted({p for p, _ in rows}) + ["ads/win/cash/free/other", "ads/win/cash", "unseen", "spam", "spam2/blog"]
+    pages = spark.createDataFrame([(i, f"http://h.org/{p}", "x", "y") for i, p in enumerate(paths)],
+                                  "page_id long, url string, _says string, Tokens string")
+    got = {r.page_id: r for r in urls.judge(pages, df, (), mining).collect()}
+    assert len(got) == len(paths) and any(len(k) == 4 for k in want)
+    for i, p in enumerate(paths):
+        own = {"host:h", "host:org", *(f"path:{x}" for x in p.split("/") if x)}
+        fits = [c for k, c in want.items() if k <= own]
+        assert (got[i].verdict, got[i].confidence) == (("block", max(fits)) if fits else ("allow", None)), p
+        assert (got[i]._says, got[i].Tokens) == ("x", "y")
