@@ -1,15 +1,15 @@
 """Load semantics on date-partitioned Parquet tables.
 
-A range reload writes the merged days to a staging folder beside the table,
-marks it complete, and only then swaps the days one by one. A load that stops
-before the mark leaves the table as it was; one that stops after it is finished
-by the next call (:func:`recover`), so no account loses rows. File operations
-use the Hadoop file system of the session, which Spark Connect does not offer.
+A range reload claims the days it touches, writes the merged days to a staging
+folder of its own beside the table, marks it complete, and only then swaps the
+days one by one. A load that stops before the mark leaves the table as it was;
+one that stops after it is finished by the next call (:func:`recover`), so no
+account loses rows, and loads of other accounts may run at the same time. Whole
+tables are replaced the same way. See :mod:`martkit.sources.claims`.
 """
 
 from __future__ import annotations
 
-import json
 import logging
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.stack import stack
+from .claims import Folder as _Folder
+from .claims import Load, recover, replace_table
 
-MARK = "_COMPLETE"
 log = logging.getLogger(__name__)
 
 
@@ -57,83 +58,35 @@ def write_clustered(df: DataFrame, path: str, partition: str = "date", keys: Seq
 
 
 def materialize(df: DataFrame, path: str, keys: Sequence[str] = (), partition: str = "date") -> DataFrame:
-    """Rebuild a mart and read it back."""
-    write_clustered(df, path, partition, keys)
+    """Rebuild a mart and read it back (B6); readers have the old one until the new one is whole."""
+    replace_table(df.sparkSession, path, lambda folder: write_clustered(df, folder, partition, keys))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str) -> bool:
+def full_refresh(df: DataFrame, path: str, wait: float = 0.0) -> bool:
     """Truncate and load; an empty batch changes nothing."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").parquet(path)
+    replace_table(df.sparkSession, path, lambda folder: df.write.parquet(folder), wait)
     return True
 
 
-class _Folder:
-    """A path of the session's Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._jvm = spark.sparkContext._jvm
-        self._root = self._jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def at(self, name: str = ""):
-        return self._jvm.org.apache.hadoop.fs.Path(self._root, name) if name else self._root
-
-    def exists(self, name: str = "") -> bool:
-        return self._fs.exists(self.at(name))
-
-    def delete(self, name: str = "") -> None:
-        self._fs.delete(self.at(name), True)
-
-    def write(self, name: str, text: str) -> None:
-        """Written under another name and renamed, so the file is whole or absent."""
-        out = self._fs.create(self.at(name + ".part"), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        self._fs.rename(self.at(name + ".part"), self.at(name))
-
-    def read(self, name: str) -> str:
-        stream = self._fs.open(self.at(name))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def take(self, other: _Folder, name: str) -> None:
-        """Replace ``name`` by that of ``other``."""
-        self.delete(name)
-        if not self._fs.rename(other.at(name), self.at(name)):
-            raise OSError(f"cannot move {name} into place")
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish a reload that stopped after its mark; drop one that stopped before. True if one was finished."""
-    table, staging = _Folder(spark, path), _Folder(spark, path.rstrip("/") + "__staging")
-    if not staging.exists():
-        return False
-    marked = staging.exists(MARK)
-    if marked:
-        swap = json.loads(staging.read(MARK))
-        for name in swap["write"]:
-            if staging.exists(name):  # else it is in place already
-                table.take(staging, name)
-        for name in swap["drop"]:
-            table.delete(name)
-    staging.delete()
-    return marked
+def _days_of(folder: _Folder, day: str, start: date, end: date) -> set[str]:
+    """Partition folders of the days of a range."""
+    names = [n for n in folder.names() if n.startswith(f"{day}=")]
+    return {n for n in names if f"{start}" <= n.removeprefix(f"{day}=") <= f"{end}"}
 
 
 def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Sequence[str],
                  cluster: Sequence[str] = ("account_id", "campaign_id"), day: str = "date",
-                 account: str = "account_id") -> bool:
+                 account: str = "account_id", wait: float = 0.0) -> bool:
     """Replace the rows of ``accounts`` between two dates by ``df``.
 
     Other accounts keep their rows; days that end up without any row go. An
     empty batch changes nothing. Rows outside the stated range or accounts are
     refused, since they would not replace what they claim to; so are columns
-    whose names or types differ from the table's.
+    whose names or types differ from the table's. While another load holds one
+    of the days this one waits up to ``wait`` seconds, then raises ``Busy``.
     """
     spark = df.sparkSession
     recover(spark, path)
@@ -146,26 +99,27 @@ def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Seq
             return False
         if rows != valid:
             raise ValueError(f"{rows - valid} rows outside {start}..{end} or the listed accounts")
-        old = open_table(spark, path)
-        if old is None:
-            write_clustered(batch, path, day, cluster)
-            return True
-        # the day is a folder name, its type follows from the batch
-        differing = {c for c, _ in set(old.drop(day).dtypes) ^ set(batch.drop(day).dtypes)}
-        if differing or day not in old.columns:
-            raise ValueError(f"columns differ from the table: {sorted(differing)}")
-        touched = open_table(spark, path, batch.schema).where(inside)
-        kept = touched.where(~F.coalesce(mine, F.lit(False)))
-        merged = stack(kept, batch)
         # At most one value per day of the range reaches the driver.
-        before = {r[0] for r in touched.select(day).distinct().collect()}
-        after = {r[0] for r in merged.select(day).distinct().collect()}
-        staging = path.rstrip("/") + "__staging"
-        write_clustered(merged, staging, day, cluster)
-        named = {key: [f"{day}={v}" for v in sorted(values)] for key, values in
-                 (("write", after), ("drop", before - after))}
-        _Folder(spark, staging).write(MARK, json.dumps(named))
-        recover(spark, path)
+        fresh = {f"{day}={r[0]}" for r in batch.select(day).distinct().collect()}
+        with Load(spark, path, wait) as load:
+            load.claim(fresh | _days_of(load.table, day, start, end))
+            while more := _days_of(load.table, day, start, end) - load.held:  # written before they were claimed
+                load.claim(more)
+            old = open_table(spark, path)
+            if old is None:
+                before, merged = set(), batch
+            else:
+                # the day is a folder name, its type follows from the batch
+                differing = {c for c, _ in set(old.drop(day).dtypes) ^ set(batch.drop(day).dtypes)}
+                if differing or day not in old.columns:
+                    raise ValueError(f"columns differ from the table: {sorted(differing)}")
+                touched = open_table(spark, path, batch.schema).where(inside)
+                kept = touched.where(~F.coalesce(mine, F.lit(False)))
+                before = {f"{day}={r[0]}" for r in touched.select(day).distinct().collect()}
+                merged = stack(kept, batch)
+            write_clustered(merged, load.rows, day, cluster)
+            after = {n for n in _Folder(spark, load.rows).names() if n.startswith(f"{day}=")}
+            load.commit(sorted(after), before - after)
         return True
     finally:
         batch.unpersist()

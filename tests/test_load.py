@@ -1,10 +1,13 @@
+import json
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import d
-from martkit.sources import load, quality
+from martkit.sources import claims, load, quality
 from martkit.sources.schemas import RAW, lookback_days, raw_schema
 from martkit.sources.tables import jdbc_options, read_sheet, read_table, register_view, seed
 
@@ -226,3 +229,89 @@ def test_quality(spark, rows):
     assert rows(quality.check_not_null(df, ["k", "n"])) == [("k", 1), ("n", 0)]
     assert rows(quality.check_labels(df, "k", ["a"])) == [(None, 1)]
     assert quality.freshness(df, "n").first()[0] == 2
+
+
+# loads side by side
+
+@pytest.mark.parametrize("step", ["claim", "write_clustered", "commit", "release"])
+def test_overlapping_reloads_keep_every_account(spark, table, rows, monkeypatch, step):
+    """Account b reloads at each step of a's reload: it is told to wait, or both survive."""
+    a = facts(spark, ("2024-05-02", "a", "c", 70))
+    b = facts(spark, ("2024-05-02", "b", "c", 80))
+    far = facts(spark, ("2024-05-09", "b", "c", 90))
+    told, inside = [], []
+
+    def between(name, function):
+        def wrapped(*args, **kwargs):
+            out = function(*args, **kwargs)
+            if name == step and not inside:
+                inside.append(1)
+                assert load.reload_range(far, table, d("2024-05-09"), d("2024-05-09"), ["b"])  # another day: at once
+                try:
+                    load.reload_range(b, table, d("2024-05-02"), d("2024-05-02"), ["b"])
+                except claims.Busy:
+                    told.append(1)
+            return out
+        return wrapped
+
+    with monkeypatch.context() as m:
+        for name in ("claim", "commit", "release"):
+            m.setattr(claims.Load, name, between(name, getattr(claims.Load, name)))
+        m.setattr(load, "write_clustered", between("write_clustered", load.write_clustered))
+        assert load.reload_range(a, table, d("2024-05-02"), d("2024-05-02"), ["a"])
+    assert inside and bool(told) == (step != "release")
+    assert load.reload_range(b, table, d("2024-05-02"), d("2024-05-02"), ["b"])
+    after = read(spark, table, rows)
+    assert {r for r in after if r[0] == d("2024-05-02")} == {(d("2024-05-02"), "a", 70), (d("2024-05-02"), "b", 80)}
+    assert (d("2024-05-09"), "b", 90) in after and (d("2024-05-09"), "a", 9) in after
+    assert not claims.Folder(spark, table + "__claims").names() and not claims.Folder(spark, table + "__staging").names()
+
+
+def test_a_waiting_reload_goes_on_when_the_day_is_free(spark, table, rows):
+    days = (d("2024-05-01"), d("2024-05-03"))
+    batches = {acc: facts(spark, ("2024-05-02", acc, "c", n)) for n, acc in enumerate(("a", "b", "x", "y"), 100)}
+    with ThreadPoolExecutor(4) as pool:
+        done = [pool.submit(load.reload_range, df, table, *days, [acc], wait=120) for acc, df in batches.items()]
+        assert all(f.result() for f in done)
+    got = {(r[1], r[2]) for r in read(spark, table, rows) if days[0] <= r[0] <= days[1]}
+    assert got == {("a", 100), ("b", 101), ("x", 102), ("y", 103), (None, 5)}
+
+
+@pytest.mark.parametrize("stop", ["write", "become", "release"])
+def test_a_stopped_refresh_leaves_a_whole_table(spark, tmp_path, rows, monkeypatch, stop):
+    path = str(tmp_path / "ref")
+    load.full_refresh(spark.range(3), path)
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(*{"write": (claims.Folder, "write", fail), "become": (claims.Folder, "become", fail),
+                    "release": (claims.Load, "release", fail)}[stop])
+        with pytest.raises(RuntimeError, match="stopped"):
+            load.full_refresh(spark.range(10, 15), path)
+    assert spark.read.parquet(path).count() in (3, 5)
+    load.recover(spark, path)
+    assert spark.read.parquet(path).count() == (3 if stop == "write" else 5)
+    assert load.full_refresh(spark.range(2), path) and spark.read.parquet(path).count() == 2
+
+
+def test_claims_of_others_are_kept_until_their_lease_is_over(spark, table):
+    held = claims.Load(spark, table)
+    with held:
+        held.claim(["date=2024-05-02"])
+    other = claims.Load(spark, table)
+    other.__enter__()
+    other.claim(["date=2024-05-02"])
+    claims._LIVE.discard(other.id)
+    owner = {"host": "elsewhere", "process": 1, "until": time.time() + 60}
+    other.staging.delete(claims.OWNER)
+    other.staging.write(claims.OWNER, json.dumps(owner))
+    batch = facts(spark, ("2024-05-02", "a", "c", 1))
+    with pytest.raises(claims.Busy):
+        load.reload_range(batch, table, d("2024-05-02"), d("2024-05-02"), ["a"])
+    with pytest.raises(claims.Busy):
+        load.full_refresh(batch, table)
+    other.staging.delete(claims.OWNER)
+    other.staging.write(claims.OWNER, json.dumps(owner | {"until": 0}))
+    assert load.reload_range(batch, table, d("2024-05-02"), d("2024-05-02"), ["a"])

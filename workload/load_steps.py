@@ -7,6 +7,7 @@ the session's warehouse, which is shared storage on a cluster.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -60,6 +61,26 @@ def reload_range_twice(spark, sf):
     return load.open_table(spark, path, facts.schema)
 
 
+# Four accounts' reloads of the same months at the same time; each waits for the months that another holds.
+@query(f"""WITH f AS ({_FACTS})
+SELECT * REPLACE (CASE WHEN date BETWEEN DATE '{START}' AND DATE '{END}' AND account_id IN ('1', '2', '3', '4')
+  THEN o_totalprice + CAST(account_id AS INTEGER) ELSE o_totalprice END AS o_totalprice) FROM f""")
+def concurrent_reloads(spark, sf):
+    path = f"{workspace(spark)}/facts"
+    facts = _facts(spark, sf)
+    load.write_clustered(facts, path, keys=("account_id", "campaign_id"))
+    inside = facts.where(F.col("date").between(F.lit(START), F.lit(END)))
+
+    def reload(account: int) -> bool:
+        batch = inside.where(F.col("account_id") == str(account))
+        return load.reload_range(batch.withColumn("o_totalprice", F.col("o_totalprice") + account), path, START, END,
+                                 [str(account)], wait=600)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(reload, (1, 2, 3, 4)))
+    return load.open_table(spark, path, facts.schema)
+
+
 @query(f"""WITH f AS ({_FACTS}) SELECT * REPLACE (CASE WHEN account_id = '5' AND date >= DATE '1999-01-01'
   THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice) FROM f""")
 def repaired_range(spark, sf):
