@@ -17,16 +17,20 @@ def _guarded(parts: list[Column], key: Column) -> Column:
 
 
 def surrogate_key(*parts: str | Column) -> Column:
-    """64-bit key of the delimited parts; NULL when any part is NULL.
+    """64-bit key of the parts; NULL when any part is NULL.
 
-    The delimiter keeps ('a', 'bc') and ('ab', 'c') apart; the guard is needed
-    because ``xxhash64`` of NULL is a constant.
+    Each part is hashed on its own, seeded by the one before, so no text in a
+    part can stand for the border between two; the guard is needed because a
+    NULL part would be skipped.
     """
     cols = [as_col(p).cast("string") for p in parts]
-    return _guarded(cols, F.xxhash64(F.concat_ws(SEPARATOR, *cols)))
+    return _guarded(cols, F.xxhash64(*cols))
 
 
 def md5_key(*parts: str | Column) -> Column:
-    """As :func:`surrogate_key`, as a portable 32-digit hex string."""
+    """As :func:`surrogate_key`, as a portable 32-digit hex string of the delimited parts.
+
+    Parts must not hold the delimiter themselves, else two tuples may share a key.
+    """
     cols = [as_col(p).cast("string") for p in parts]
     return _guarded(cols, F.md5(F.concat_ws(SEPARATOR, *cols)))

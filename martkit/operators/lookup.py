@@ -77,12 +77,12 @@ def exclude_keys(df: DataFrame, keys: DataFrame, column: str, null_aware: bool =
     key set is empty.
     """
     wanted = keys.select(column)
-    if null_aware:
-        if wanted.where(F.col(column).isNull()).limit(1).count():
-            return df.where(F.lit(False))
-        if wanted.limit(1).count():
-            df = df.where(F.col(column).isNotNull())
-    return lookup(df, wanted.where(F.col(column).isNotNull()).distinct(), [column], "left_anti")
+    kept = lookup(df, wanted.where(F.col(column).isNotNull()).distinct(), [column], "left_anti")
+    if not null_aware:
+        return kept
+    seen = wanted.agg(F.count(F.lit(1)).alias("_keys"), F.count_if(F.col(column).isNull()).alias("_missing"))
+    allowed = (F.col("_missing") == 0) & (F.col(column).isNotNull() | (F.col("_keys") == 0))
+    return kept.join(F.broadcast(seen), allowed, "left_semi")  # one row
 
 
 def missing_ids(needed: DataFrame, found: DataFrame, column: str) -> DataFrame:

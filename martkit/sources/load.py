@@ -178,7 +178,11 @@ def backfill(df: DataFrame, path: str, first_year: int, today: date, accounts: S
     if slices:
         whole = F.col("date").between(F.lit(slices[0][0]), F.lit(slices[-1][1]))
         _log_left_out(df, F.coalesce(whole, F.lit(False)))
-    for start, end in slices:
-        part = df.where(F.col("date").between(F.lit(start), F.lit(end)))
-        done += reload_range(part, path, start, end, accounts, **kwargs)
+    whole = df.persist(StorageLevel.MEMORY_AND_DISK)  # the source is read once, not once per year
+    try:
+        for start, end in slices:
+            part = whole.where(F.col("date").between(F.lit(start), F.lit(end)))
+            done += reload_range(part, path, start, end, accounts, **kwargs)
+    finally:
+        whole.unpersist()
     return done
