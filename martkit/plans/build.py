@@ -6,18 +6,22 @@ landed tables :func:`landed`, and prepares shared small sides once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.editions import prepare_editions
 from ..sources import schemas
-from ..sources.load import materialize, next_window, open_table, recover, reload_range
+from ..sources.claims import Folder, changes
+from ..sources.load import materialize, next_window, open_table, recover, reload_range, replace_days
 from ..sources.tables import read_table
 from . import gold, silver
 from .context import Context
 
+#: Marts whose rows come from raw rows of their own day.
+DAILY = ("campaign", "conversion", "ad", "demographics", "geo", "targeted_geo", "phrases")
 Read = Callable[[str], DataFrame]
 
 
@@ -146,3 +150,62 @@ class Build:
     def write(self, name: str, root: str) -> DataFrame:
         """Rebuild the mart ``name`` of ``gold.CLUSTER`` below ``root``, by day and sorted by its keys."""
         return materialize(getattr(self, f"{name}_mart")(), f"{root}/{name}", gold.CLUSTER[name])
+
+    def _reading(self, read: Read) -> Build:
+        """The same build with another reader of raw tables."""
+        other = object.__new__(type(self))
+        other.__dict__ = {**self.__dict__, "raw": read, "_cache": {}}
+        return other
+
+    def sources(self, name: str) -> list[str]:
+        """The raw tables with a day that the mart ``name`` reads."""
+        seen = set()
+
+        def read(table: str) -> DataFrame:
+            df = self.raw(table)
+            if "date" in df.columns:
+                seen.add(table)
+            return df
+
+        getattr(self._reading(read), f"{name}_mart")()
+        return sorted(seen)
+
+    def of_days(self, name: str, days: Sequence[date]) -> DataFrame:
+        """The mart ``name`` for some days, from those days of its raw tables.
+
+        Every row of the marts in ``DAILY`` comes from raw rows of its own day.
+        """
+        if name not in DAILY:
+            raise ValueError(f"{name} is not built day by day")
+        inside = F.col("date").cast("date").isin(list(days))
+
+        def read(table: str) -> DataFrame:
+            df = self.raw(table)
+            return df.where(inside) if "date" in df.columns else df
+
+        return getattr(self._reading(read), f"{name}_mart")()
+
+    def refresh(self, spark: SparkSession, name: str, root: str, raw_root: str) -> list[date] | None:
+        """Rebuild the days of a written mart whose raw tables below ``raw_root`` have changed since it was last built.
+
+        Returns the days, or None if the whole mart was written: the first
+        time, or after a raw table was replaced whole. What has been built is
+        noted beside the mart after the swap, so a stopped refresh runs again.
+        """
+        path = f"{root}/{name}"
+        notes = Folder(spark, f"{path}__seen")
+        seen = json.loads(notes.read("changes")) if notes.exists("changes") else None
+        parts, now = set(), {}
+        for table in self.sources(name):
+            own, now[table] = changes(spark, f"{raw_root}/{table}", (seen or {}).get(table, ""))
+            parts = None if own is None or parts is None else parts | own
+        days = None
+        if seen is None or parts is None:
+            self.write(name, root)
+        else:
+            days = sorted(date.fromisoformat(p.partition("=")[2]) for p in parts)
+            if days:
+                replace_days(self.of_days(name, days), path, days, gold.CLUSTER[name])
+        notes.delete("changes")
+        notes.write("changes", json.dumps(now))
+        return days

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -218,3 +219,51 @@ def word_mart(stats: DataFrame, texts: DataFrame, k: int = 10) -> DataFrame:
     daily = rollup(stats, keys, [*SUMMED, "conversions", "conversion_value"], ["currency"], DELIVERY_RATIOS)
     return daily.join(tops, list(GLOBAL_KEYS), "left").select(
         *keys, *date_parts("date"), "top_search_combinations", *PHRASE_METRICS)
+
+
+DAY_KEYS = tuple(c for c in WORD_KEYS if c not in ("word", "phrase_key", "currency", "account_name", "account_id"))
+SET_KEYS = tuple(c for c in GLOBAL_KEYS if c != "word")
+MAX_CODES = 1000  #: currencies that are coded by their place in a list
+
+
+def _code(columns: Sequence[str], name: str) -> dict[str, Column]:
+    """Two longs that stand for a tuple of columns; NULL differs from every text."""
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return {f"{name}1": F.xxhash64(*parts), f"{name}2": F.xxhash64(F.lit(name), *parts)}
+
+
+def coded_word_mart(source: DataFrame, stop_words: Sequence[str], store: Callable[[DataFrame], DataFrame],
+                    min_length: int = 3, k: int = 10, width: int = 100) -> DataFrame:
+    """J33 from one stored table, with coded keys.
+
+    ``source`` is read once: phrases are summed per day and campaign, and
+    ``store`` writes them and reads them back. Word rows carry two longs for
+    the day's attributes and two for the campaign's instead of the texts, the
+    phrase is 16 bytes, and MAX over currencies runs on their places in a
+    sorted list, so all groupings hash. Texts join the finished groups.
+    """
+    sums = [*SUMMED, "conversions", "conversion_value"]
+    held = rollup(source, [*DAY_KEYS, "currency", "raw_text"], sums)
+    held = store(held.withColumns({**_code(DAY_KEYS, "d"), **_code(SET_KEYS, "g"), "phrase": F.unhex(F.md5("raw_text"))}))
+    money = [r[0] for r in held.select("currency").where("currency IS NOT NULL").distinct().limit(MAX_CODES + 1).collect()]
+    coded = len(money) <= MAX_CODES
+    places = F.array(*[F.lit(c) for c in sorted(money, key=str.encode)]).cast("array<string>")
+    currency = F.nullif(F.array_position(places, F.col("currency")), F.lit(0)) if coded else F.col("currency")
+    narrow = held.select("d1", "d2", "g1", "g2", "phrase", currency.alias("currency"), *sums,
+                         tokens("raw_text", min_length, stop_words).alias("_words"))
+    # The inner form would make Spark tokenise twice, to filter out empty lists first.
+    words = narrow.withColumn("word", F.explode_outer("_words")).drop("_words").where(F.col("word").isNotNull())
+    daily = words.groupBy("d1", "d2", "word").agg(*[F.sum(c).alias(c) for c in sums], F.max("currency").alias("currency"))
+    if coded:
+        daily = daily.withColumn("currency", F.get(places, (F.col("currency") - 1).cast("int")))
+    daily = daily.withColumns({name: ratio(n, d) for name, (n, d) in DELIVERY_RATIOS.items()})
+    days = held.select("d1", "d2", "g1", "g2", *DAY_KEYS).distinct()
+    # a NULL among the campaign's keys has no top phrases, as it equals nothing
+    whole = held.where(~reduce(Column.__or__, [F.col(c).isNull() for c in SET_KEYS])).select("g1", "g2").distinct()
+    totals = phrase_totals(words, ["g1", "g2", "word", "phrase"], "impressions", "total_impressions").join(
+        whole, ["g1", "g2"], "left_semi")
+    texts = held.where(F.col("phrase").isNotNull()).select("phrase", shorten("raw_text", width).alias("clean_phrase")).distinct()
+    tops = top_phrases(totals, ["g1", "g2", "word"], "phrase", "total_impressions", k, "top_search_combinations",
+                       texts=texts, text="clean_phrase")
+    return daily.join(days, ["d1", "d2"]).join(tops, ["g1", "g2", "word"], "left").select(
+        *DAY_KEYS, "word", *date_parts("date"), "top_search_combinations", *PHRASE_METRICS)

@@ -125,6 +125,18 @@ def reload_range(df: DataFrame, path: str, start: date, end: date, accounts: Seq
         batch.unpersist()
 
 
+def replace_days(df: DataFrame, path: str, days: Sequence[date], keys: Sequence[str] = (), day: str = "date",
+                 wait: float = 0.0) -> None:
+    """Replace the listed days by the rows of ``df``, which has no others; other days' files stay."""
+    spark, names = df.sparkSession, {f"{day}={d}" for d in days}
+    recover(spark, path)
+    with Load(spark, path, wait) as load:
+        load.claim(names)
+        write_clustered(df.where(F.col(day).isin(list(days))), load.rows, day, keys)
+        after = {n for n in _Folder(spark, load.rows).names() if n.startswith(f"{day}=")}
+        load.commit(sorted(after), (names - after) & set(load.table.names()))
+
+
 def reload_accounts(df: DataFrame, path: str, account: str = "account_id", keys: Sequence[str] = ()) -> bool:
     """Replace the snapshot of every account present in ``df`` (B2)."""
     if df.isEmpty():

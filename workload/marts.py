@@ -11,7 +11,7 @@ from martkit.plans import gold, measures
 from martkit.plans.build import Build
 
 from . import oracle
-from .standins import CONTEXT, raw
+from .standins import CONTEXT, raw, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 STOP_WORDS = ("the", "and", "for")
@@ -63,8 +63,12 @@ def phrases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
-    source = Models(spark, sf).phrase_source()
-    return gold.word_mart(gold.word_stats(source, STOP_WORDS), gold.phrase_texts(source))
+    def store(phrases: DataFrame) -> DataFrame:
+        path = f"{workspace(spark)}/phrases"
+        phrases.write.parquet(path)
+        return spark.read.schema(phrases.schema).parquet(path)
+
+    return gold.coded_word_mart(Models(spark, sf).phrase_source(), STOP_WORDS, store)
 
 
 def roi(spark: SparkSession, sf: str) -> DataFrame:

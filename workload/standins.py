@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -247,6 +248,12 @@ CONTEXT = Context(
 PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
+def workspace(spark: SparkSession) -> str:
+    """A new folder in the shared folder, or below the warehouse, which is shared storage on a cluster."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/martkit-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.table(view(spark, sf_dir, name))
 
