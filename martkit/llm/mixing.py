@@ -69,11 +69,12 @@ def schedule(sources: DataFrame) -> DataFrame:
     return running_start(hit, ["source_no"], "_part", [F.col("slot")], "_one", "block").drop("_part", "_one")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2,
-        block: int = 2048) -> DataFrame:
-    """Words taken from each row of `docs` (row, doc_id, source, size): adds source_size, target, taken, first_slot.
+def chosen(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2,
+           block: int = 2048) -> tuple[DataFrame, DataFrame]:
+    """Rows with their source's target, and the pieces that the schedule takes (row, turn, block, slot, words).
 
-    `row` is a unique number. A source's last block ends at its target, rounded to whole words.
+    `row` is a unique number. Blocks are laid over the sources' streams, and a slot of the schedule takes all pieces of its
+    block; a source's last block ends at its target, rounded to whole words.
     """
     docs = cut(docs.select("row", "doc_id", "source", "size"))
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -85,12 +86,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     laid = running_start(named, ["source_no"], "_cell", [F.col("_h"), F.col("doc_id"), F.col("size"), F.col("row")],
                          "size", "_start").drop("_h", "_cell")
     turns = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
-    runs = laid.withColumn("_turn", turns).withColumn("_lo", F.col("_start") + F.col("_turn") * F.col("source_size"))
+    runs = laid.withColumn("turn", turns).withColumn("_lo", F.col("_start") + F.col("turn") * F.col("source_size"))
     runs = runs.withColumn("_hi", F.least(F.col("_lo") + F.col("size"), F.col("wanted"))).where("_lo < _hi")
     blocks = F.explode(F.sequence(F.expr(f"_lo div {block}"), F.expr(f"(_hi - 1) div {block}")))
-    pieces = runs.select("row", "source_no", "_lo", "_hi", blocks.alias("block"))
+    pieces = runs.select("row", "turn", "source_no", "_lo", "_hi", blocks.alias("block"))
     words = F.least("_hi", (F.col("block") + 1) * block) - F.greatest("_lo", F.col("block") * block)
-    taken = (pieces.join(schedule(sources), ["source_no", "block"]).groupBy("row")
-             .agg(F.sum(words).alias("taken"), F.min("slot").alias("first_slot")))
+    taken = pieces.join(schedule(sources), ["source_no", "block"]).select("row", "turn", "block", "slot", words.alias("words"))
+    return laid, taken
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: int = 2,
+        block: int = 2048) -> DataFrame:
+    """Words taken from each row of `docs` (row, doc_id, source, size): adds source_size, target, taken, first_slot."""
+    laid, pieces = chosen(docs, weights, share, most, block)
+    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     out = laid.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     return out.select("row", "doc_id", "source", "size", "source_size", "target", "taken", "first_slot")

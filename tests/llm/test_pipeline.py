@@ -26,7 +26,8 @@ def table(spark, tmp_path):
         rows = [(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in enumerate(texts)]
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
         if extra:
-            for name in ("score", "kept", "component", "ids", "taken", "n_words", "size"):
+            for name in ("score", "kept", "component", "ids", "taken", "n_words", "size", "_row", "_size", "_part", "row",
+                         "doc", "slot", "turn", "_taken", "Component2", "_HASH", "_base", "_words"):
                 df = df.withColumn(name, F.lit("mine"))
         path = str(tmp_path / f"docs{len(texts)}{extra}")
         df.write.parquet(path)
@@ -118,6 +119,18 @@ def test_mix_repeats_and_cuts_documents(spark, table):
     assert abs(sum(len(r.text.split()) for r in out) - 3000) <= 2 and out[0].taken == "mine"
 
 
+def test_the_mix_is_written_in_the_order_of_the_schedule(spark, table, tmp_path):
+    """Every stretch of the output holds the sources' shares: three files of 600 documents, each near the whole's mix."""
+    docs = table([article(i, 60) for i in range(1800)])
+    pipeline.mixed(spark, docs.withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 3)), SF).write.parquet(str(tmp_path / "mix"))
+    files = sorted((tmp_path / "mix").glob("part-*.parquet"))
+    rows = pd.concat([pd.read_parquet(f) for f in files], ignore_index=True)
+    whole = rows.groupby("source").size() / len(rows)
+    for k in range(0, len(rows) - 400, 200):  # 400 documents are about a dozen blocks
+        share = rows[k:k + 400].groupby("source").size() / 400
+        assert (share.reindex(whole.index, fill_value=0) - whole).abs().max() < 0.15
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 def test_stages_on_empty_tables(spark, table):
     docs = table([article(1)]).limit(0)
