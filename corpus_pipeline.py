@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import bpe, mixing, quality, similar, toxicity
-from martkit.llm.common import blank_words, n_blank_words, numbered, read, shared_dir
+from martkit.llm.common import blank_words, numbered, read, shared_dir
 from martkit.llm.queries import VOCABULARY
 
 SIMILARITY, SHINGLE, BITS = 0.8, 5, 128
@@ -30,8 +30,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    return quality.judge(rows).where("kept").select("_row.*")
+    rows = docs.select(F.struct("*").alias("doc"), "text")
+    return quality.judge(rows).where("kept").select("doc.*")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,28 +40,29 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents are linked if the Jaccard index of their distinct 5-word shingles is 0.8 or more; a group is all that can be
     reached over links. Pairs are looked for by 128 SimHash bits of these shingles, then verified.
     """
-    rows = numbered(docs, "_row")
-    groups = similar.similar_groups(rows.select("_row", "doc_id", "text"), SIMILARITY, RADIUS, SHINGLE, BITS)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
-    kept = groups.groupBy("component").agg(first.alias("_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    rows = numbered(docs.select(F.struct("*").alias("doc")), "row")
+    groups = similar.similar_groups(rows.select("row", "doc.doc_id", "doc.text"), SIMILARITY, RADIUS, SHINGLE, BITS)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    kept = groups.groupBy("component").agg(first.alias("row")).select("row")
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed 5 : 2 : 1 to 150% of all words: a document comes once per turn that takes it.
+    """Sources mixed 5 : 2 : 1 to 150% of all words, in the order of the schedule's slots.
 
-    A turn that takes part of a document, one per source, has its first words, joined by spaces.
+    A document comes once per turn that takes it, at the first slot that does. A turn that takes part of a document, one per
+    source, has its first words, joined by spaces.
     """
-    rows = numbered(docs, "_row")
-    sizes = rows.select(F.col("_row").alias("row"), "doc_id", "source", n_blank_words(F.col("text")).alias("size"))
-    taken = mixing.mix(sizes).where("taken > 0").select(
-        F.col("row").alias("_row"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    turns = F.array(F.least("_size", "_taken"), F.col("_taken") - F.least("_size", "_taken"))
-    each = rows.join(taken, "_row").withColumn("_part", F.explode(turns)).where("_part > 0")
-    part = F.array_join(F.slice(blank_words(F.col("text")), F.lit(1), F.col("_part").cast("int")), " ")
-    text = F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(part)
-    out = each.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(docs.columns)
+    rows = numbered(docs.select(F.struct("*").alias("doc")), "row")
+    words = blank_words(F.col("doc.text"))
+    sizes = rows.select("row", "doc.doc_id", "doc.source", F.size(words).cast("long").alias("size"))
+    _, pieces = mixing.chosen(sizes)
+    turns = pieces.groupBy("row", "turn").agg(F.sum("words").alias("part"), F.min("slot").alias("slot"))
+    each = rows.join(turns, "row").repartitionByRange("slot", "row", "turn").sortWithinPartitions("slot", "row", "turn")
+    part = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")
+    text = F.when(F.col("part") == F.size(words), F.col("doc.text")).otherwise(part)
+    made = {"text": text, "n_chars": F.length(text).cast("long")}
+    return each.select(*[made.get(c.lower(), F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
