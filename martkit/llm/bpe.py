@@ -5,7 +5,7 @@ children, so the root is the leftmost pair of lowest rank. A merge changes three
 recomputed. The trees of many words lie in one array and advance together; a long word has a tree of its own.
 
 A batch's distinct chunks between white space, and their distinct words, are encoded once and remembered in two
-generations (`words`). Chunks beyond Latin letters are cut by the tokenizer file's own normaliser and pattern, so they
+generations (`words`). Chunks beyond Latin are cut by the tokenizer file's own normaliser and pattern, so they
 follow its Unicode tables. Defined results: NULL and empty texts have no tokens and decode to "".
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import json
 import re
+import unicodedata
 from pathlib import Path
 
 import numpy as np
@@ -29,8 +30,23 @@ from .common import ship
 SHIFT, END = 32, np.int64(1) << 62
 PAIR = 32  #: bits of an id in a pair
 LONG = 64  #: words of more symbols get a tree of their own
-#: Fixed value: the tokenizer's pattern, for ASCII.
-PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
+LATIN = range(0x180)  #: code points whose classes do not differ between Unicode tables, none of them combining
+CAPITAL_I_DOT = "\u0130"  #: the one of them whose small form has two letters
+
+
+def _class(*kinds: str) -> str:
+    """A pattern's set of the Latin code points of some general categories."""
+    return "".join(f"\\u{c:04x}" for c in LATIN if unicodedata.category(chr(c))[0] in kinds)
+
+
+def _pattern() -> tuple[re.Pattern, re.Pattern]:
+    """The tokenizer's pattern, a fixed value, for Latin texts; and the test whether a text is one."""
+    letters, digits, blanks = _class("L"), _class("N"), r"\x09-\x0D\x20\x85\xA0"
+    plain = rf"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{digits}]|[^{blanks}{letters}{digits}]+"
+    return re.compile(plain), re.compile(rf"[\x00-{chr(LATIN[-1])}]*")
+
+
+PLAIN, IS_LATIN = _pattern()
 
 
 def byte_letters() -> list[str]:
@@ -66,7 +82,7 @@ class Vocabulary:
 
     def pieces(self, text: str) -> list[bytes]:
         """Words of a text without special tokens."""
-        if text.isascii():
+        if IS_LATIN.fullmatch(text) and CAPITAL_I_DOT not in text:
             return [w.encode() for w in PLAIN.findall(text.lower())]
         cut_up = self.cutter.pre_tokenize_str(self.normal.normalize_str(text))
         return [bytes(map(self.bytes.__getitem__, w)) for w, _ in cut_up]

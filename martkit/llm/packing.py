@@ -14,7 +14,6 @@ Defined results: a NULL or empty text is its end id alone; equal rows are separa
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -22,35 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from . import words
+from . import bpe, words
 from .common import cut, ordered, ship
 
 SIZE, END = 2048, 1
 PIVOTS = 400  #: pivots of the linear program at most; every state is a whole plan, more pivots only save padding
 GAP = 1e-4  #: the program ends when its cost is within this share of the least possible
 
-_STORES: dict[int, words.Store] = {}
-
-
-def _store(spec: str) -> words.Store:
-    """One tokenizer per worker; unused truncation and padding stay off."""
-    key = hash(spec)
-    if key not in _STORES:
-        tokenizer = Tokenizer.from_str(spec)
-
-        def learn(chunks: list[str]) -> list[bytes]:
-            return [array("i", e.ids).tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-        _STORES[key] = words.Store(learn)
-    return _STORES[key]
-
-
 def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END, with_ids: bool = True) -> DataFrame:
     """Pieces of at most `size` ids of every document (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, ids.
 
-    `path` is a tokenizer file whose words never span white space; `end` closes every document.
+    `path` is a tokenizer file of word-end BPE, whose ids `bpe` gives; `end` closes every document.
     """
     ship(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
@@ -58,7 +40,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END, with_id
     schema = f"doc_id {key.dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long"
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = _store(spec.value)
+        store = bpe._encoder(spec.value).chunks
         for batch in batches:
             at = 0
             for texts in words.slices(batch.column(1)):
@@ -186,6 +168,7 @@ def patterns(lengths: np.ndarray, need: np.ndarray, size: int, pivots: int = PIV
     cost, index = _costs(size), {int(v): i for i, v in enumerate(lengths)}
     basis, uses, totals = _start(lengths, need, size)
     price, inverse, bound = cost[totals.astype(int)], np.linalg.inv(basis), 0.0
+    sound = basis.copy(), uses.copy()
     for turn in range(pivots):
         value = price @ inverse
         best, last = _price(lengths, value, size)
@@ -199,21 +182,27 @@ def patterns(lengths: np.ndarray, need: np.ndarray, size: int, pivots: int = PIV
             column[index[int(last[at])]] += 1
             at -= int(last[at])
         step = inverse @ column
-        can = np.flatnonzero(step > 1e-7)
+        can = np.flatnonzero(step > 1e-6)
         ratio = uses[can] / step[can]
         tied = can[ratio <= ratio.min() + 1e-9]  # the largest pivot among ties keeps the basis far from singular
         out = tied[int(np.argmax(step[tied]))]
         amount = float(ratio.min())
         uses = np.maximum(uses - amount * step, 0.0)
         uses[out], price[out], basis[:, out] = amount, cost[total], column
-        if turn % 50 == 49:
-            inverse = np.linalg.inv(basis)
+        if turn % 50 == 49:  # afresh, against rounding errors; a basis that has become singular is given up
+            try:
+                inverse = np.linalg.inv(basis)
+            except np.linalg.LinAlgError:
+                break
             uses = np.maximum(inverse @ need, 0.0)
+            if not np.allclose(basis @ uses, need, rtol=1e-6, atol=1e-6):
+                break
+            sound = basis.copy(), uses.copy()
         else:
             row = inverse[out] / step[out]
             inverse -= np.outer(step, row)
             inverse[out] = row
-    return basis, uses, bound
+    return (basis, uses, bound) if np.allclose(basis @ uses, need, rtol=1e-6, atol=1e-6) else (*sound, bound)
 
 
 def plan(histogram: dict[int, int], size: int = SIZE, pivots: int = PIVOTS) -> list[tuple[list[int], int]]:
