@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from martkit.functions import dates
@@ -210,12 +212,16 @@ def bridge_fan_out(spark, sf):
   coalesce(c_mktsegment, 'UNKNOWN') AS adset_status FROM orders
 LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 3) ON o_custkey = c_custkey""")
 def pacing_join(spark, sf):
+    """Every budget has an older, other version on the side."""
     spend = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("adset_id"),
                                               F.col("o_totalprice").alias("spend"))
     budgets = table(spark, sf, "customer").where("c_nationkey <> 3").select(
         F.col("c_custkey").alias("adset_id"), F.col("c_acctbal").cast("string").alias("daily_budget"),
-        F.col("c_custkey").cast("string").alias("lifetime_budget"), F.col("c_mktsegment").alias("status"))
-    return lookup.pacing(spend, budgets).drop("adset_id")
+        F.col("c_custkey").cast("string").alias("lifetime_budget"), F.col("c_mktsegment").alias("status"),
+        F.lit(datetime(2024, 5, 2)).alias("_ingested_at"))
+    older = budgets.withColumns({"daily_budget": F.lit("1"), "status": F.lit("PAUSED"),
+                                 "_ingested_at": F.lit(datetime(2024, 5, 1))})
+    return lookup.pacing(spend, older.unionByName(budgets)).drop("adset_id")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_extendedprice, coalesce(s_name, 'UNKNOWN') AS status FROM lineitem
@@ -223,7 +229,9 @@ LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 2000) ON l_suppkey = s_suppk
 def status_default(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey")
     side = table(spark, sf, "supplier").where("s_acctbal > 2000").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("status"))
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("status"), F.lit(datetime(2024, 5, 2)).alias("_ingested_at"))
+    older = side.withColumns({"status": F.lit("old"), "_ingested_at": F.lit(datetime(2024, 5, 1))})
+    side = older.unionByName(side)  # every key twice
     return lookup.with_default(rows, side, ["l_suppkey"], {"status": "UNKNOWN"}).drop("l_suppkey")
 
 

@@ -1,6 +1,6 @@
 """All single-operator queries."""
 
-from . import join_steps, load_steps  # noqa: F401  (importing registers their queries)
+from . import join_steps, landing_steps, load_steps  # noqa: F401  (importing registers their queries)
 from .column_steps import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
