@@ -1,21 +1,22 @@
 """Quality rules as a short-circuit cascade, ordered by rejections per cost.
 
-Every rule's running time and share of rejections are estimated on a bounded sample; rules then run in the order of
-rejections per second, each only on documents that passed the rules before it. The order changes the cost alone: a
-document is kept if no rule rejects it, whatever the order.
+Every rule's running time and rejections are estimated on a bounded sample of the documents that pass the base rule; rules
+then run in the order of rejections per second, each only on documents that passed the rules before it. The order changes
+the cost alone: a document is kept if no rule rejects it, whatever the order.
 
 Defined results: a NULL text has no words; a document without words fails the base rule on word count.
 """
 
 from __future__ import annotations
 
+import statistics
 import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, blank_words
+from .common import BLANKS, blank_words, cut
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -78,29 +79,52 @@ def rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def ordered(docs: DataFrame, candidates: list[Rule], sample_rows: int = 400, repeats: int = 20) -> list[Rule]:
-    """Rules by rejections per second on the first `sample_rows` rows, each judged `repeats` times; ties keep their order.
+def sampled(docs: DataFrame, rows: int, seed: int = 7) -> DataFrame:
+    """At most `rows` rows spread over the whole table: each is taken by chance, with a share that follows from the count."""
+    share = 1.25 * rows / max(docs.count(), 1)
+    return docs.where(F.rand(seed) < share).limit(rows)
 
-    A limit that is collected reads the first partitions only, so the cost of the estimate does not grow with the input.
+
+def ordered(rows: DataFrame, candidates: list[Rule], repeats: int = 5, rounds: int = 3) -> list[Rule]:
+    """Rules in the order of rejections per second; `rows` is a bounded sample of measured rows that pass the base rule.
+
+    A rule's cost is the median of its running times on the sample, each row judged `repeats` times, less that of no rule;
+    the rules take turns, so that a slow moment meets all of them. Costs below the spread of the runs without a rule cannot
+    be told apart and count as that spread. Rules are placed one by one: what counts is how many of the rows that the rules
+    before it let pass a rule rejects. Ties keep the given order.
     """
-    many = docs.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    # every job measures the rows, as the whole plan does, so that a rule's own cost is what it adds
-    never = F.lit(False)
-    for name in MEASURES:
-        never = never | (F.col(name) < 0)
+    rows = cut(rows)
+    many = rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    flags = {rule.name: F.coalesce(rule.reject, F.lit(False)) for rule in candidates}
+    taken: dict[str | None, list[float]] = {name: [] for name in (None, *flags)}
 
-    def seconds(flag: Column) -> tuple[float, int]:
+    def seconds(flag: Column) -> float:
         began = time.perf_counter()
-        rows = many.select((never | F.coalesce(flag, F.lit(False))).alias("r")).limit(sample_rows * repeats).collect()
-        return time.perf_counter() - began, sum(r.r for r in rows)
-
-    seconds(F.lit(False))
-    empty = seconds(F.lit(False))[0]
-    gain = {}
-    for rule in candidates:
-        took, found = seconds(rule.reject)
-        gain[rule.name] = found / max(took - empty, 1e-3)
-    return sorted(candidates, key=lambda rule: -gain[rule.name])
+        many.agg(F.count_if(flag)).collect()
+        return time.perf_counter() - began
+
+    # the turn is read as well, so that no job can leave the rows out
+    none = F.col("_turn") < 0
+    seconds(none)
+    for _ in range(rounds):
+        for name in taken:
+            taken[name].append(seconds(none if name is None else none | flags[name]))
+    spread = max(max(taken[None]) - min(taken[None]), 1e-4)
+    idle = statistics.median(taken[None])
+    cost = {name: max(statistics.median(taken[name]) - idle, spread) for name in flags}
+    left = rows.select(*[flag.alias(name) for name, flag in flags.items()]).collect()  # bounded by the sample
+    return placed(candidates, cost, [r.asDict() for r in left])
+
+
+def placed(candidates: list[Rule], cost: dict[str, float], verdicts: list[dict[str, bool]]) -> list[Rule]:
+    """Rules by rejections per cost, each judged on the rows that those before it let pass."""
+    chain, rest = [], list(candidates)
+    while rest:
+        best = max(rest, key=lambda rule: sum(v[rule.name] for v in verdicts) / cost[rule.name])
+        chain.append(best)
+        rest.remove(best)
+        verdicts = [v for v in verdicts if not v[best.name]]
+    return chain
 
 
 def cascade(chain: list[Rule]) -> Column:
@@ -113,7 +137,8 @@ def cascade(chain: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, text: str = "text", sample_rows: int = 400) -> DataFrame:
     """Adds the measures, base_failed and kept to whole documents."""
+    sample = measured(sampled(docs.select(text), sample_rows), text).where(~base_failed())
+    chain = ordered(sample, rules(text))
     rows = measured(docs, text)
-    chain = ordered(rows, rules(text), sample_rows)
     return rows.withColumn("base_failed", base_failed()).withColumn(
         "kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(chain)))

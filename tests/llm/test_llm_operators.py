@@ -1,5 +1,6 @@
 """Operators on small hand-made rows: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
+import math
 import random
 import zlib
 
@@ -207,6 +208,68 @@ def fitted_on(monkeypatch, docs, labels, sample):
     return seen[0]
 
 
+def explicit(machine, rows):
+    """Log-odds by a double loop over the pairs of terms."""
+    out = []
+    for ids in rows:
+        terms = [i for i in ids if machine.value[i]]
+        norm = math.sqrt(sum(machine.value[i] ** 2 for i in terms))
+        x = {i: machine.value[i] / max(1.0, norm / toxicity.LENGTH) for i in terms}
+        total = machine.bias + sum(machine.weight[i] * x[i] for i in terms)
+        for k, i in enumerate(terms):
+            for j in terms[k + 1:]:
+                total += sum(float(a) * float(b) for a, b in zip(machine.factor[i], machine.factor[j])) * x[i] * x[j]
+        out.append(total)
+    return out
+
+
+def terms_of(rows):
+    return np.array([i for r in rows for i in r], np.int64), np.array([len(r) for r in rows], np.int64)
+
+
+def test_scores_equal_a_double_loop_over_term_pairs():
+    rng = np.random.default_rng(4)
+    value = np.where(rng.random(toxicity.SLOTS) < 0.7, rng.random(toxicity.SLOTS) * 3, 0.0)
+    machine = toxicity.Machine(-0.3, value, rng.normal(0, 0.3, toxicity.SLOTS), rng.normal(0, 0.2, (toxicity.SLOTS, toxicity.FACTORS)))
+    rows = [sorted(rng.choice(500, int(n), replace=False)) for n in (0, 1, 2, 7, 40, 200, 0)]
+    wanted = [1 / (1 + math.exp(-max(-30.0, min(30.0, t)))) for t in explicit(machine, rows)]
+    assert np.allclose(machine.score(*terms_of(rows)), wanted, rtol=0, atol=1e-9)
+
+
+def test_one_step_follows_the_gradient_by_finite_differences():
+    """All rows in one batch: each parameter moves by the numerical slope of the loss, scaled as the adaptive step says."""
+    rng = np.random.default_rng(5)
+    rows = [sorted(rng.choice(12, 5, replace=False)) for _ in range(40)]
+    label = np.array([float(3 in r and 7 in r) for r in rows])
+    rate, decay = 0.1, 1e-4
+    value = toxicity.values(*terms_of(rows), label)
+    weight, factor = np.zeros(toxicity.SLOTS), np.random.default_rng(7).normal(0, 0.01, (toxicity.SLOTS, toxicity.FACTORS))
+    bias = math.log(label.mean() / (1 - label.mean()))
+
+    def loss(b):
+        odds = np.array(explicit(toxicity.Machine(b, value, weight, factor), rows))
+        return float(np.sum(np.logaddexp(0, odds) - label * odds))
+
+    def slope(table, at, h=1e-5):
+        own = table[at]
+        table[at] = own + h
+        above = loss(bias)
+        table[at] = own - h
+        below = loss(bias)
+        table[at] = own
+        return (above - below) / (2 * h) + decay * own
+
+    made = toxicity.fit(*terms_of(rows), label, epochs=1, rate=rate, decay=decay, batch=len(rows))
+    g = (loss(bias + 1e-5) - loss(bias - 1e-5)) / 2e-5
+    assert abs(made.bias - (bias - rate * g / math.sqrt(1 + g * g))) < 1e-6
+    for i in np.flatnonzero(value[:12]):
+        g = slope(weight, i)
+        assert abs(made.weight[i] - (weight[i] - rate * g / math.sqrt(1 + g * g))) < 1e-6
+        for f in range(toxicity.FACTORS):
+            g = slope(factor, (i, f))
+            assert abs(made.factor[i, f] - (factor[i, f] - rate * g / math.sqrt(1 + g * g))) < 1e-6
+
+
 def test_sample_keeps_the_ratio_of_the_classes(spark, monkeypatch):
     docs = documents(spark, [f"word{i} and more" for i in range(2000)])
     labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2000)], "doc_id long, toxic int")
@@ -250,6 +313,29 @@ def test_cascade_order_changes_nothing(spark):
     assert not any(r.kept for r in quality.judge(documents(spark)).collect())
 
 
+def test_cheap_rules_that_reject_come_first(spark):
+    """A costly rule that rejects nothing is last, although it is given first; a rule that only repeats another's rejections too."""
+    rows = quality.measured(documents(spark, [f"{'word ' * 400}{i}" for i in range(60)]))
+    text = F.col("text")
+    for _ in range(40):
+        text = F.regexp_replace(text, "(w|o)+r", "wor")
+    half = F.col("doc_id") % 2 == 0
+    rules = [quality.Rule("costly", F.length(text) < 0), quality.Rule("half", half), quality.Rule("third", F.col("doc_id") % 3 == 0)]
+    assert [r.name for r in quality.ordered(rows, rules)] == ["half", "third", "costly"]
+    verdicts = [{"a": i < 6, "b": i < 5, "c": i >= 8} for i in range(10)]
+    named = [quality.Rule(n, half) for n in "bca"]
+    assert [r.name for r in quality.placed(named, dict.fromkeys("abc", 1.0), verdicts)] == ["a", "c", "b"]
+    assert [r.name for r in quality.placed(named, {"a": 4.0, "b": 1.0, "c": 1.0}, verdicts)] == ["b", "c", "a"]
+
+
+def test_the_sample_of_rules_is_bounded_and_spread(spark):
+    rows = spark.range(0, 20_000, 1, 40)
+    for _ in range(2):
+        ids = [r.id for r in quality.sampled(rows, 400).collect()]
+        assert 250 < len(ids) <= 400 and len({i // 500 for i in ids}) > 25
+    assert quality.sampled(rows.limit(10), 400).count() == 10 and quality.sampled(rows.limit(0), 400).count() == 0
+
+
 # licences
 
 def test_licences_by_place(spark):

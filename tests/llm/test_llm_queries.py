@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import os
 import zlib
@@ -85,6 +86,85 @@ def test_parsing_matches_document_by_document(spark):
     assert np.mean([r.near_edited for r in got.values()]) > 5 * np.mean([r.near_next for r in got.values()])
 
 
+MASK = (1 << 64) - 1
+
+
+def mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * factor & MASK
+    return x ^ (x >> 31)
+
+
+def phrases(names):
+    """One level of parsing, symbol by symbol: runs, then stretches cut at local maxima of tossed labels."""
+    out, stretch = [], []
+
+    def cut_stretch():
+        labels = list(stretch)
+        for _ in range(parsing.ROUNDS):
+            tossed = [labels[0] & 1]
+            for left, own in zip(labels, labels[1:]):
+                place = next((b for b in range(64) if (left ^ own) >> b & 1), None)
+                tossed.append(own & 1 if place is None else 2 * place + (own >> place & 1))
+            labels = tossed
+        phrase = []
+        for i, name in enumerate(stretch):
+            if 2 <= i < len(stretch) - 1 and labels[i] > labels[i - 1] and labels[i] >= labels[i + 1]:
+                out.append(phrase)
+                phrase = []
+            phrase.append(name)
+        out.append(phrase)
+        stretch.clear()
+
+    for _, run in itertools.groupby(names):
+        run = list(run)
+        if len(run) == 1:
+            stretch += run
+            continue
+        if stretch:
+            cut_stretch()
+        out.append(run)
+    if stretch:
+        cut_stretch()
+    return out
+
+
+def sketch(text):
+    """The bins of one text, level by level."""
+    names, level, least = [mixed(ord(c) + 1) for c in text], 0, {}
+    while names:
+        if level >= parsing.FIRST:
+            for name in names:
+                h = mixed((name + level) & MASK)
+                least[h >> 58] = min(least.get(h >> 58, MASK), (h << 6) & MASK)
+            if len(names) == 1:
+                break
+        names = [mixed((sum(mixed((n + 0x9E3779B97F4A7C15 * (i + 1)) & MASK) for i, n in enumerate(p)) + len(p)) & MASK)
+                 for p in phrases(names)]
+        level += 1
+    return [(least[b] >> 48) % 65535 + 1 if b in least else 0 for b in range(parsing.BINS)]
+
+
+def alike(a, b):
+    used = [(x, y) for x, y in zip(a, b) if x or y]
+    return sum(x == y for x, y in used) / len(used) if used else 1.0
+
+
+def test_parsing_matches_a_parser_that_goes_symbol_by_symbol(spark):
+    got = {r.doc_id: r for r in queries.op4_parsing(spark, SF).collect()}
+    docs = sorted(((r.doc_id, r.text or "") for r in table(spark, "documents")), reverse=True)[:60]
+    prints = [sketch(text) for _, text in docs]
+    for i, (key, text) in enumerate(docs[:-1]):
+        n = len(text) // 3
+        edit = sketch(text[:len(text) - n] + docs[i + 1][1][:n])
+        r = got[key]
+        assert r.fingerprint == "".join(f"{v:04x}" for v in prints[i])
+        assert r.edited_fingerprint == "".join(f"{v:04x}" for v in edit)
+        assert (r.near_edited, r.near_next) == (alike(prints[i], edit), alike(prints[i], prints[i + 1]))
+    odd = ["", "a", "aa", "ab", "aab", "abab" * 9, "a" * 50, "xyz" * 40 + "aaaa" + "zyx" * 3, "\U0001f600é\n\t" * 7]
+    assert [list(map(int, s)) for s in parsing.sketches(odd)] == [sketch(t) for t in odd]
+
+
 def test_bpe_matches_the_library(spark):
     got = {r.doc_id: r for r in queries.op10_bpe(spark, SF).collect()}
     library = Tokenizer.from_file(queries.VOCABULARY)
