@@ -12,8 +12,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martkit.functions.keys import surrogate_key
+from martkit.operators.dedup import latest
 from martkit.plans import build, landing, silver
-from martkit.sources import ledger, load, reconcile, rejects
+from martkit.sources import bucketed, curve, drift, ledger, load, reconcile, rejects
 from martkit.sources.quality import freshness
 from martkit.sources.tables import read_sheet, read_table, seed
 
@@ -207,6 +208,63 @@ def reject_counts(spark, sf):
     return _screened(spark, sf).counts()
 
 
+# Payloads of events whose shape has drifted: numbers as text, a new object, a field inside it, broken text.
+_DECLARED = "k bigint, user struct<id:bigint>, campaign string"
+
+
+def _payloads(spark, sf) -> DataFrame:
+    e = F.col("event_id")
+    user = F.concat(F.lit(',"user":{"id":'), F.col("user_id").cast("string"), F.when(e % 2 == 0, ',"vip":true').otherwise(""), F.lit("}"))
+    text = F.concat(F.lit('{"k":'), F.when(e % 7 == 0, F.concat(F.lit('"'), e.cast("string"), F.lit('"'))).otherwise((e % 100).cast("string")),
+                    F.when(e % 3 == 0, user).otherwise(""), F.when(e % 11 == 0, ',"extra":[1]').otherwise(""), F.lit("}"))
+    return table(spark, sf, "events").select("event_id", F.when(e % 19 == 0, "gone {").otherwise(text).alias("props"))
+
+
+@query("""WITH e AS (SELECT event_id AS e FROM events), ok AS (SELECT e FROM e WHERE e % 19 <> 0)
+SELECT * FROM (SELECT '$' AS path, '' AS kind, 'broken' AS state, count(*) AS n_rows FROM e WHERE e % 19 = 0
+UNION ALL SELECT '$.k', 'STRING', 'other_type', count(*) FROM ok WHERE e % 7 = 0
+UNION ALL SELECT '$.k', 'BIGINT', 'as_declared', count(*) FROM ok WHERE e % 7 <> 0
+UNION ALL SELECT '$.user', 'OBJECT', 'as_declared', count(*) FROM ok WHERE e % 3 = 0
+UNION ALL SELECT '$.user.id', 'BIGINT', 'as_declared', count(*) FROM ok WHERE e % 3 = 0
+UNION ALL SELECT '$.user.vip', 'BOOLEAN', 'undeclared', count(*) FROM ok WHERE e % 6 = 0
+UNION ALL SELECT '$.extra', 'ARRAY', 'undeclared', count(*) FROM ok WHERE e % 11 = 0) WHERE n_rows > 0
+UNION ALL SELECT '$.campaign', '', 'absent', 0""")
+def payload_drift(spark, sf):
+    return drift.drift(_payloads(spark, sf), "props", _DECLARED)
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 19 > 0 THEN CASE WHEN event_id % 7 = 0 THEN event_id ELSE event_id % 100 END END AS k,
+  CASE WHEN event_id % 19 > 0 AND event_id % 3 = 0 THEN CAST(user_id AS BIGINT) END AS user_id FROM events""")
+def payload_typed(spark, sf):
+    """Numbers in text are read as numbers."""
+    rows = drift.typed(_payloads(spark, sf), "props", _DECLARED)
+    return rows.select("event_id", "k", F.col("user.id").alias("user_id"))
+
+
+@query("""SELECT user_id, event_type, event_id, value, c_mktsegment AS segment FROM (SELECT * FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
+LEFT JOIN customer ON user_id = c_custkey""")
+def bucketed_latest(spark, sf):
+    """Events and customers in buckets of the same key: neither the dedup nor the join moves a row."""
+    root = workspace(spark)
+    name = root.rpartition("/")[2].replace("-", "_")
+    events = bucketed.write_bucketed(table(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("long")),
+                                     f"events_{name}", ["user_id"], 16, ["user_id", "event_type"], f"{root}/events")
+    customers = bucketed.write_bucketed(table(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("user_id"),
+                                                                            F.col("c_mktsegment").alias("segment")),
+                                        f"customers_{name}", ["user_id"], 16, path=f"{root}/customers")
+    newest = latest(events, ["user_id", "event_type"], "ts", ["event_id"])
+    return newest.join(customers, "user_id", "left").select("user_id", "event_type", "event_id", "value", "segment")
+
+
+@query(f"SELECT date, account_id, campaign_id, o_orderkey, o_totalprice FROM ({_FACTS})")
+def curved_table(spark, sf):
+    """Orders in files along a curve through account, campaign and order, and read back."""
+    path, facts = f"{workspace(spark)}/facts", _facts(spark, sf)
+    curve.write_curved(facts, path, ["account_id", "campaign_id", "o_orderkey"], 16)
+    return load.open_table(spark, path, facts.schema)
+
+
 @query("""SELECT o_orderkey, '2024-05-01 06:00:00' AS stamped FROM orders""")
 def ingestion_stamp(spark, sf):
     rows = load.stamp(table(spark, sf, "orders").select("o_orderkey"), datetime(2024, 5, 1, 6))
