@@ -187,11 +187,11 @@ def year_slices(first_year: int, today: date) -> list[tuple[date, date]]:
 def backfill(df: DataFrame, path: str, first_year: int, today: date, accounts: Sequence[str], **kwargs) -> int:
     """Range reload per year; returns the number of years that had rows, logs how many rows it left out."""
     done, slices = 0, year_slices(first_year, today)
-    if slices:
-        whole = F.col("date").between(F.lit(slices[0][0]), F.lit(slices[-1][1]))
-        _log_left_out(df, F.coalesce(whole, F.lit(False)))
-    whole = df.persist(StorageLevel.MEMORY_AND_DISK)  # the source is read once, not once per year
+    whole = df.persist(StorageLevel.MEMORY_AND_DISK)  # the source is read once, not once per year and for the count
     try:
+        if slices:
+            inside = F.col("date").between(F.lit(slices[0][0]), F.lit(slices[-1][1]))
+            _log_left_out(whole, F.coalesce(inside, F.lit(False)))
         for start, end in slices:
             part = whole.where(F.col("date").between(F.lit(start), F.lit(end)))
             done += reload_range(part, path, start, end, accounts, **kwargs)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -92,13 +93,37 @@ def ytd(spark: SparkSession, sf: str) -> DataFrame:
     return measures.year_to_date(Models(spark, sf).roi_mart(), ["platform"], ["cost", "revenue"])
 
 
+# Parts of the ids of models and marts, in the columns that their rows still have.
+IDS = {"a_campaign": ["date", "campaign_id"], "a_conversion": ["date", "campaign_id", "conversion_action_id"],
+       "a_performance": ["date", "ad_id", "coalesce(device, '')", "coalesce(ad_network_type, '')"],
+       "a_search_terms": ["date", "campaign_id", "ad_group_id", "search_term"], "b_performance": ["date", "ad_id"]}
+MART_IDS = {"campaign_mart": ("unique_id", ["date", "campaign_id"], oracle.mart_campaign),
+            "phrases_mart": ("id", ["date", "event_edition", "platform", "campaign_id", "top_search_combinations"], oracle.mart_phrases)}
+
+
+def model_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The 64-bit ids are as many as the tuples of their parts, and missing exactly where a part is."""
+    models, counts = Models(spark, sf), []
+    for name, key in {**dict.fromkeys(IDS, "id"), **{n: key for n, (key, _, _) in MART_IDS.items()}}.items():
+        counts.append(getattr(models, name)().agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"),
+            F.count_if(F.col(key).isNull()).alias("n_missing")))
+    return reduce(DataFrame.unionAll, counts)
+
+
+def _ids_sql(model: str, parts: list[str], rows: str) -> str:
+    there = " AND ".join(f"{p} IS NOT NULL" for p in parts)
+    return (f"SELECT '{model}' AS model, count(*) AS n_rows, count(DISTINCT ({', '.join(parts)})) FILTER ({there}) AS n_ids, "
+            f"count(*) FILTER (NOT ({there})) AS n_missing FROM ({rows})")
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{name}": _silver(name) for name in oracle.SILVER},
     "silver_crm": lambda spark, sf: Models(spark, sf).crm().withColumn(
         "conversion_timestamp", F.unix_micros("conversion_timestamp")),
     "mart_campaign": campaign, "mart_conversion": conversion, "mart_ad": ad, "mart_demographics": demographics,
     "mart_geo": geo, "mart_targeted_geo": targeted_geo, "mart_phrases": phrases, "mart_words": words,
-    "mart_roi": roi, "measures_financials": financials, "measures_yoy": yoy, "measures_ytd": ytd,
+    "model_ids": model_ids, "mart_roi": roi, "measures_financials": financials, "measures_yoy": yoy, "measures_ytd": ytd,
 }
 ORACLES: dict[str, str] = {
     **{f"silver_{name}": oracle.silver_sql(name) for name in oracle.SILVER},
@@ -107,6 +132,8 @@ ORACLES: dict[str, str] = {
     "mart_campaign": oracle.mart_campaign(), "mart_conversion": oracle.mart_conversion(),
     "mart_ad": oracle.mart_ad(), "mart_demographics": oracle.mart_demographics(), "mart_geo": oracle.mart_geo(),
     "mart_targeted_geo": oracle.mart_targeted_geo(), "mart_phrases": oracle.mart_phrases(),
+    "model_ids": " UNION ALL ".join([*[_ids_sql(m, parts, oracle.silver_sql(m)) for m, parts in IDS.items()],
+                                     *[_ids_sql(m, parts, sql()) for m, (_, parts, sql) in MART_IDS.items()]]),
     "mart_words": oracle.mart_words(), "mart_roi": oracle.mart_roi(),
     "measures_financials": oracle.measures_financials(), "measures_yoy": oracle.measures_yoy(),
     "measures_ytd": oracle.measures_ytd(),
