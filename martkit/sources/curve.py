@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 SAMPLE = 20_000  #: rows, at most, whose keys set the bounds of the ranks; the layout depends on them, never the rows
 
@@ -51,14 +52,17 @@ def write_curved(df: DataFrame, path: str, keys: Sequence[str], files: int, part
                  sample: int = SAMPLE) -> None:
     """Write ``df`` in about ``files`` files, each narrow in all ``keys``; with ``partition``, inside its values.
 
-    ``df`` is read three times: for the count, with the sample of keys, for the
-    ranges, and to be written; give a stored one. Rows of equal keys may share
-    many files, so no group has to fit one task.
+    ``df`` is read four times: for the count, the sample of keys, the ranges, and
+    to be written; give a stored one. Rows of equal keys may share
+    many files, so no group has to fit one task unless its rows are copies.
     """
     if bits * len(keys) > 63:
         raise ValueError("the keys' ranks must fit 63 bits")
     lead = [partition] if partition else []
-    placed = df.withColumn("_place", place(bounds(df, keys, bits, sample), bits)).withColumn("_any", F.rand(7))
+    placed = df.withColumn("_place", place(bounds(df, keys, bits, sample), bits))
+    # by content, not by chance, so that a task that runs again deals the same rows to the same files
+    plain = [f"`{f.name}`" for f in df.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    placed = placed.withColumn("_any", F.xxhash64(*plain))
     dealt = placed.repartitionByRange(files, *lead, "_place", "_any").sortWithinPartitions(*lead, "_place", *keys)
     writer = dealt.drop("_place", "_any").write.mode("overwrite")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
