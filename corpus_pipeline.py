@@ -13,12 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import bpe, mixing, quality, similar, toxicity
+from martkit.llm import bpe, mixing, quality, simhash, toxicity
 from martkit.llm.common import blank_words, numbered, read, shared_dir
 from martkit.llm.queries import VOCABULARY
 
-SIMILARITY, SHINGLE, BITS = 0.8, 5, 128
-RADIUS = 36  #: bits in which candidates may differ; pairs at the limit differ in 19 on average, 4 standard deviations below
+SHINGLE, RADIUS = 4, 4  #: words of a shingle, bits in which linked fingerprints may differ: those of op2_simhash
 ORACLE_SQL = None  # trained weights, fingerprints and merges are tested against brute force
 
 
@@ -37,11 +36,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id.
 
-    Documents are linked if the Jaccard index of their distinct 5-word shingles is 0.8 or more; a group is all that can be
-    reached over links. Pairs are looked for by 128 SimHash bits of these shingles, then verified.
+    Documents are linked if their 64-bit SimHash fingerprints of 4-word shingles differ in at most 4 bits; a group is all
+    that can be reached over links. Documents without words are one group.
     """
     rows = numbered(docs.select(F.struct("*").alias("doc")), "row")
-    groups = similar.similar_groups(rows.select("row", "doc.doc_id", "doc.text"), SIMILARITY, RADIUS, SHINGLE, BITS)
+    groups = simhash.near_groups(rows.select("row", "doc.doc_id", "doc.text"), RADIUS, SHINGLE)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
     kept = groups.groupBy("component").agg(first.alias("row")).select("row")
     return rows.join(kept, "row", "left_semi").select("doc.*")
