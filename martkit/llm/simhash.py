@@ -92,25 +92,9 @@ class Forest:
             low, high = np.minimum(ra, rb), np.maximum(ra, rb)
             np.minimum.at(self.up, high, low)
 
-    def link_if(self, a: np.ndarray, b: np.ndarray, same) -> None:
-        """Links the pairs that pass same(a, b); pairs that are joined by then need no test, all others get one."""
-        order = np.random.default_rng(len(a)).permutation(len(a))  # a few random links join a set of near copies
-        a, b, step = a[order], b[order], 16
-        while True:
-            apart = self.roots(a) != self.roots(b)
-            a, b = a[apart], b[apart]
-            if not len(a):
-                return
-            good = same(a[:step], b[:step])
-            self.link(a[:step][good], b[:step][good])
-            a, b, step = a[step:], b[step:], min(2 * step, TILE)
-
-
-def links(left: np.ndarray, right: np.ndarray | None, radius: int, same=None) -> np.ndarray:
-    """Root of each row of left (then right) under all links within the radius; right None: within left.
 
-    With `same`, a test of row numbers (a, b), pairs within the radius are links only if they pass it.
-    """
+def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> np.ndarray:
+    """Root of each row of left (then right) under all links within the radius; right None: within left."""
     rows = left if right is None else np.concatenate([left, right])
     order = [np.lexsort(_parts(s).T[::-1]) for s in ([left] if right is None else [left, right])]
     sides = [left[order[0]], (left if right is None else right)[order[-1]]]
@@ -138,8 +122,7 @@ def links(left: np.ndarray, right: np.ndarray | None, radius: int, same=None) ->
             if right is None and i == j:
                 x, y = x[x < y], y[x < y]
             if len(x):
-                x, y = order[0][i + x], order[-1][j + y] + shift
-                forest.link(x, y) if same is None else forest.link_if(x, y, same)
+                forest.link(order[0][i + x], order[-1][j + y] + shift)
     return forest.roots(np.arange(len(rows)))
 
 
@@ -163,12 +146,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str
         yield key, prints, sides
 
 
-def linked(prints: DataFrame, radius: int, block: int = BLOCK, tester=None) -> DataFrame:
-    """Spanning edges (a, b) of all links between the distinct fingerprints of `prints` (fingerprint).
-
-    With `tester`, prints has a column record too, a string that starts with the fingerprint. Records are linked then,
-    and tester.open(records) gives the names of a group's records and the test that a pair must pass.
-    """
+def linked(prints: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """Spanning edges (a, b) of all links between the distinct fingerprints of `prints` (fingerprint)."""
     spark = prints.sparkSession
 
     @F.arrow_udf("int")
@@ -176,9 +155,7 @@ def linked(prints: DataFrame, radius: int, block: int = BLOCK, tester=None) -> D
         rows = _array(texts.to_pylist()) if len(texts) else np.zeros((0, 1), np.uint64)
         return pa.array(np.bitwise_count(rows).sum(1), pa.int32())
 
-    label = "fingerprint" if tester is None else "record"
-    rows = cut(prints.select(label, "fingerprint", population("fingerprint").alias("ones")) if tester is not None else
-               prints.select("fingerprint", population("fingerprint").alias("ones")))
+    rows = cut(prints.select("fingerprint", population("fingerprint").alias("ones")))
     counts = dict(rows.groupBy("ones").count().collect())  # at most one row per population count
     slices = {p: -(-n // block) for p, n in counts.items()}
     # the block's number: blocks in the order of population count, then slice
@@ -193,22 +170,19 @@ def linked(prints: DataFrame, radius: int, block: int = BLOCK, tester=None) -> D
     above = {p: max(first[q] + slices[q] for q in first if q <= p + radius) - 1 for p in first}
     lowest = F.create_map(*[F.lit(x) for p in first for x in (p, below[p])])
     highest = F.create_map(*[F.lit(x) for p in first for x in (p, above[p])])
-    own = at[F.col("ones")] + F.pmod(F.xxhash64(label), many[F.col("ones")]).cast("int")
+    own = at[F.col("ones")] + F.pmod(F.xxhash64("fingerprint"), many[F.col("ones")]).cast("int")
     rows = rows.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(lowest[F.col("ones")], highest[F.col("ones")])))
     pairs = rows.select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                        (F.col("own") > F.col("other")).alias("side"), label)
-
-    def array(texts: list[str]) -> np.ndarray:
-        return _array(texts if tester is None else [t[:tester.bits // 4] for t in texts])
+                        (F.col("own") > F.col("other")).alias("side"), "fingerprint")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (i, j), texts, sides in _groups(batches):
             a = [t for t, s in zip(texts, sides, strict=True) if not s]
             b = [t for t, s in zip(texts, sides, strict=True) if s]
             if i == j or (a and b):
-                names, same = (a + b, None) if tester is None else tester.open(a + b)
-                root = links(array(a), None if i == j else array(b), radius, same)
+                names = a + b
+                root = links(_array(a), None if i == j else _array(b), radius)
                 x = np.flatnonzero(root != np.arange(len(names)))
                 edges = {"a": [names[k] for k in x], "b": [names[k] for k in root[x]]}
                 yield pa.RecordBatch.from_pydict(edges, pa.schema([("a", pa.string()), ("b", pa.string())]))
@@ -247,10 +221,26 @@ def components(edges: DataFrame) -> DataFrame:
         mark, edges = state, cut(star(star(edges, True), False))
 
 
+def _node(name: Column) -> Column:
+    """A fingerprint of 16 hex digits as a long of the same order, so that components aggregate longs by hash."""
+    high, low = (F.conv(F.substring(name, at, 8), 16, 10).cast("long") for at in (1, 9))
+    return F.shiftleft(high - F.lit(1 << 31), 32).bitwiseOR(low)
+
+
+def _name(node: Column) -> Column:
+    return F.lpad(F.lower(F.hex(node.bitwiseXOR(F.lit(-1 << 63)))), 16, "0")
+
+
 def near_groups(docs: DataFrame, radius: int, width: int, bits: int = 64, text: str = "text") -> DataFrame:
     """Adds fingerprint and component, the smallest fingerprint reachable over links, to narrow columns of docs."""
     ship(docs.sparkSession)
     rows = cut(docs.withColumn("fingerprint", fingerprint(F.col(text), width, bits)).drop(text))
-    tree = components(linked(rows.select("fingerprint").distinct(), radius)).toDF("_node", "_root")
+    edges = linked(rows.select("fingerprint").distinct(), radius)
+    if bits == 64:
+        tree = components(edges.select(_node(F.col("a")).alias("a"), _node(F.col("b")).alias("b")))
+        tree = tree.select(_name(F.col("node")), _name(F.col("root")))
+    else:
+        tree = components(edges)
+    tree = tree.toDF("_node", "_root")
     joined = rows.join(tree, rows["fingerprint"] == tree["_node"], "left")
     return joined.withColumn("component", F.coalesce("_root", "fingerprint")).drop("_node", "_root")

@@ -101,6 +101,17 @@ def test_blocks_of_any_size_give_the_same_components(spark):
     assert found[0] == found[1] != []
 
 
+def test_components_name_the_smallest_fingerprint(spark):
+    # the upper bit is set in half of them: longs must keep the order of the hex texts
+    texts = ["a b c d e", "a b c d e", "f g h i", "", *(f"w{i} x y z" for i in range(40))]
+    rows = simhash.near_groups(documents(spark, texts), radius=24, width=4).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in rows}
+    for r in rows:
+        group = [prints[o.doc_id] for o in rows if o.component == r.component]
+        assert int(r.component, 16) == min(group)
+    assert len({r.component for r in rows}) < len(set(prints.values()))
+
+
 # urls
 
 def test_written_rules_and_urls_without_host(spark):
