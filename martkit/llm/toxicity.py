@@ -25,6 +25,7 @@ from .common import cut, ship
 SLOTS, FACTORS, PREFIX = 1 << 18, 4, 4
 LENGTH = 12.0  #: largest norm of a document's input values
 WORD = re.compile(r"\w+")
+PART = 200  #: texts that are scored at once
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class Machine:
 class Terms:
     """Slots of a text's distinct terms; remembers words, and forgets all of them when there are too many."""
 
-    def __init__(self, room: int = 200_000) -> None:
+    def __init__(self, room: int = 40_000) -> None:
         self.room, self.known = room, {}
 
     def slots(self, text: str | None) -> list[int]:
@@ -80,11 +81,12 @@ def _slots(texts: pa.Array, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
 
 def inputs(value: np.ndarray, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, slot and value of each term that takes part; documents longer than `LENGTH` are scaled down to it."""
-    doc, x = np.repeat(np.arange(len(size)), size), value[ids]
-    there = x != 0
-    doc, ids, x = doc[there], ids[there], x[there]
+    doc, there = np.repeat(np.arange(len(size), dtype=np.int32), size), value[ids] != 0
+    doc, ids = doc[there], ids[there]
+    x = value[ids]
     norm = np.sqrt(np.bincount(doc, x * x, len(size)))
-    return doc, ids, x / np.maximum(1, norm / LENGTH)[doc]
+    x /= np.maximum(1, norm / LENGTH)[doc]
+    return doc, ids, x
 
 
 def values(ids: np.ndarray, size: np.ndarray, label: np.ndarray, prior: float = 5.0, least: float = 0.5,
@@ -94,7 +96,7 @@ def values(ids: np.ndarray, size: np.ndarray, label: np.ndarray, prior: float =
     Slots near the base rate get `floor` at least, so that pairs can use them. Only those of less than `often` documents,
     whose ratio says little, get 0 and so take no part.
     """
-    base, doc = label.mean(), np.repeat(np.arange(len(size)), size)
+    base, doc = label.mean(), np.repeat(np.arange(len(size), dtype=np.int32), size)
     seen, toxic = np.bincount(ids, minlength=SLOTS), np.bincount(ids, label[doc], SLOTS)
     ratio = np.log((toxic + prior * base) / (seen + prior) / base)
     far = np.abs(ratio)
@@ -111,6 +113,7 @@ def fit(ids: np.ndarray, size: np.ndarray, label: np.ndarray, epochs: int = 12,
     value = values(ids, size, label)
     at, ids, inside = inputs(value, ids, size)
     size = np.bincount(at, minlength=len(size))
+    del at
     bias, past_b = float(np.log(label.mean() / (1 - label.mean()))), 1.0
     past_w, past_f = np.full(SLOTS, 1.0), np.full((SLOTS, FACTORS), 1.0)
     start = np.concatenate([[0], np.cumsum(size)])
@@ -173,11 +176,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mach
     label = table["toxic"].to_numpy().astype(float)
     # an id with both labels comes twice, in any order; order by content as well
     start = np.concatenate([[0], np.cumsum(size)])
-    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
     doc_id = table["doc_id"].to_numpy()
-    key = np.array([zlib.crc32(ids[start[i]:start[i + 1]].tobytes()) for i in range(len(size))], np.int64)
+    key = np.array([zlib.crc32(ids[start[i]:start[i + 1]].astype(np.int64).tobytes()) for i in range(len(size))], np.int64)
     order = np.lexsort((key, doc_id))
     flat = np.concatenate([ids[start[i]:start[i + 1]] for i in order]) if len(order) else ids
+    del table, lists, ids  # the driver fits on one copy of the sample
     return fit(flat, size[order], label[order])
 
 
@@ -187,9 +191,10 @@ def score(text: Column, machine) -> Column:
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
         model, terms, out = machine.value, _TERMS, []
-        for i in range(0, len(texts), 1000):
-            ids, size = _slots(texts.slice(i, 1000), terms)
+        for i in range(0, len(texts), PART):
+            ids, size = _slots(texts.slice(i, PART), terms)
             out.append(model.score(ids, size))
+        pa.default_memory_pool().release_unused()  # idle workers keep what they hold beside the next stage
         return pa.array(np.concatenate([*out, np.zeros(0)]), pa.float64())
 
     return of(text)
