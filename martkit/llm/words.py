@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-ROOM = 200_000  #: chunks of a generation
-SLICE = 8 << 20  #: bytes of text that are worked on at a time
+ROOM = 120_000  #: chunks of a generation
+SLICE = 4 << 20  #: bytes of text that are worked on at a time
 
 
 class Store:
