@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions import dates
 from martkit.functions.rules import first_match
-from martkit.operators import lookup, nested
+from martkit.operators import bloom, lookup, nested
 from martkit.operators.dedup import combine_dims
 from martkit.operators.editions import edition_days, label_events, match_series, nearest_edition
 from martkit.operators.nested import Field
@@ -135,6 +135,15 @@ def not_in_split(spark, sf):
         "l_orderkey", "l_suppkey", "l_extendedprice")
 
 
+@query("""SELECT l_orderkey, l_suppkey, l_extendedprice FROM lineitem WHERE l_suppkey NOT IN
+  (SELECT s_suppkey FROM supplier WHERE s_acctbal < 3000)""")
+def not_in_filtered(spark, sf):
+    """The same rows by a Bloom filter of the keys and an exact join of what it lets through."""
+    keys = table(spark, sf, "supplier").where("s_acctbal < 3000").select(F.col("s_suppkey").alias("l_suppkey"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
+    return bloom.exclude_many(rows, keys, "l_suppkey", bloom.Filter.for_keys(1 << 20))
+
+
 @query("""SELECT 'with NULL' AS key_set, l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN
   (SELECT CASE WHEN s_acctbal > 100 THEN s_suppkey END FROM supplier WHERE s_acctbal < 3000)
 UNION ALL SELECT 'without', l_orderkey, nullif(l_suppkey, 7) FROM lineitem WHERE nullif(l_suppkey, 7) NOT IN
