@@ -518,8 +518,9 @@ def token_stats(spark, sf):
 
 @query(statement(oracle.word_ctes() | oracle.TOPS, "SELECT * FROM totals"))
 def phrase_total(spark, sf):
-    stats = gold.word_stats(Models(spark, sf).phrase_source(), STOP_WORDS)
-    return phrase_totals(stats, [*gold.GLOBAL_KEYS, "phrase_key"], "impressions", "total_impressions")
+    keys = [*gold.SET_KEYS, "phrase_key", "raw_text"]  # whole phrases are totalled before they are split into words
+    return gold.word_stats(Models(spark, sf).phrase_source(), STOP_WORDS,
+                           combine=lambda phrases: phrase_totals(phrases, keys, "impressions", "total_impressions"))
 
 
 @query("""SELECT source, lang, string_agg(phrase || ' (' || total || ')', chr(10) ORDER BY total DESC, phrase) AS tops
