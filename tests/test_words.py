@@ -51,3 +51,21 @@ def test_phrase_totals_group_whole_phrases(spark, rows):
     plain = phrase_totals(gold.word_stats(source(spark), ["the"]), [*gold.GLOBAL_KEYS, "phrase_key"], "impressions", "total")
     assert rows(totals) == rows(plain)
     assert not after_explode(totals)
+
+
+def test_coded_mart_deals_small_campaigns_whole(spark, rows, tmp_path):
+    src = source(spark)
+    plain = gold.word_mart(gold.word_stats(src, ["the"]), gold.phrase_texts(src))
+
+    def mart(name, limit):
+        def store(df):
+            df.write.parquet(str(tmp_path / name))
+            return spark.read.parquet(str(tmp_path / name))
+        return gold.coded_word_mart(src, ["the"], store, set_bytes=limit).select(plain.columns)
+
+    for name, limit in (("dealt", 1 << 20), ("spread", 0), ("both", 650)):
+        assert rows(mart(name, limit)) == rows(plain)
+    tree = mart("plan", 1 << 20)._jdf.queryExecution().executedPlan().toString().split("Union")[1]
+    dealt, spread = tree.split("\n   +- ")
+    assert "Generate" in dealt and not re.search(r"hashpartitioning\([^)]*word", dealt)
+    assert re.search(r"hashpartitioning\([^)]*word", spread)
