@@ -86,15 +86,23 @@ def exclude_keys(df: DataFrame, keys: DataFrame, column: str, null_aware: bool =
 
 
 def missing_ids(needed: DataFrame, found: DataFrame, column: str) -> DataFrame:
-    """Distinct ids of ``needed`` that ``found`` lacks."""
-    ids = needed.select(column).where(F.col(column).isNotNull()).distinct()
-    return ids.join(found.select(column).distinct(), column, "left_anti")
+    """Distinct ids of ``needed`` that ``found`` lacks.
+
+    Grouped with a mark instead of joined: a join may be moved below the
+    DISTINCT, and then sorts every row of ``needed``.
+    """
+    there = F.col(column).isNotNull()
+    if needed.schema[column].dataType != found.schema[column].dataType:  # compared as a join does
+        return needed.select(column).where(there).distinct().join(found.select(column).distinct(), column, "left_anti")
+    marked = needed.select(column, F.lit(False).alias("_found")).where(there).unionAll(
+        found.select(column, F.lit(True).alias("_found")).where(there))
+    return marked.groupBy(column).agg(F.max("_found").alias("_found")).where(~F.col("_found")).select(column)
 
 
 def fill_gaps(found: DataFrame, fetched: DataFrame, column: str) -> DataFrame:
-    """``found`` plus the ``fetched`` rows of ids it lacks."""
-    lacking = missing_ids(fetched, found, column)
-    return found.unionByName(fetched.join(lacking, column, "left_semi"))
+    """``found`` plus the ``fetched`` rows of ids it lacks (D12); those without an id stay out."""
+    lacking = fetched.where(F.col(column).isNotNull()).join(found.select(column).distinct(), column, "left_anti")
+    return found.unionByName(lacking.select(*fetched.columns))
 
 
 def with_geo(df: DataFrame, targets: DataFrame, id_cols: Sequence[str], unknown: str = "Unknown",
