@@ -17,7 +17,7 @@ from ..functions.keys import surrogate_key
 from ..functions.rules import Rule, first_match, recode, with_first_match
 from ..functions.status import IDLE, delivery_status_a, delivery_status_b
 from ..functions.text import initcap_words
-from ..operators.dedup import latest, recent, top_one
+from ..operators.dedup import latest, latest_repeated, recent, top_one
 from ..operators.editions import DISTANCE, LABELS, Editions, label_events
 from ..operators.lookup import campaign_states, exclude_keys, fits, lookup, with_creative, with_geo
 from ..operators.nested import explode_actions
@@ -83,6 +83,12 @@ def _newest(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
     return latest(recent(raw, "date", ctx.recent_days, ctx.as_of), keys, tie=tie)
 
 
+def _newest_b(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
+    """As :func:`_newest`; a report of platform B gives nearly all keys once."""
+    tie = [t for t in ctx.tie if t in raw.columns]
+    return latest_repeated(recent(raw, "date", ctx.recent_days, ctx.as_of), keys, tie=tie)
+
+
 def _typed(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
     """Select ``name -> source``: text sources are taken as they are."""
     return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
@@ -310,7 +316,7 @@ def _set_and_ad() -> dict[str, str | Column]:
 
 def b_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J17."""
-    src = _named_b(_newest(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx), ctx)
+    src = _named_b(_newest_b(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx), ctx)
     typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
@@ -322,7 +328,7 @@ def b_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
 def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFrame, inputs: Inputs,
                            ctx: Context) -> DataFrame:
     """Ad rows with the texts of their creative."""
-    src = _named_b(_newest(raw, ["date", "ad_id"], ctx), ctx)
+    src = _named_b(_newest_b(raw, ["date", "ad_id"], ctx), ctx)
     typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
@@ -339,7 +345,7 @@ def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFra
 
 def b_conversion_action(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J19."""
-    src = _named_b(_newest(raw, ["date", "campaign_id", "adset_id", "ad_id", "conversion_action"], ctx), ctx)
+    src = _named_b(_newest_b(raw, ["date", "campaign_id", "adset_id", "ad_id", "conversion_action"], ctx), ctx)
     typed = _typed(src, {**_head(F.col("event_name"), "ad_id", "conversion_action"), **_set_and_ad(),
                          "conversion_action": "conversion_action",
                          **_double(conversions="conversions", conversion_value="conversion_value"),
@@ -351,7 +357,7 @@ def b_conversion_action(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFra
 def b_demographics(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """J20."""
     keys = ["campaign_id", "adset_id", "ad_id", "age", "gender"]
-    src = _named_b(_newest(raw, ["date", *keys], ctx), ctx)
+    src = _named_b(_newest_b(raw, ["date", *keys], ctx), ctx)
     typed = _typed(src, {**_head(F.col("event_name"), *keys), "ad_group_id": F.col("adset_id").cast("string"),
                          "ad_group_name": "adset_name", "age_group": "age", "gender": initcap_words("gender"),
                          "report_granularity": F.lit(COMBINED), **_delivery_b(src),
@@ -396,7 +402,7 @@ def b_demographic_conversions(raw: DataFrame, inputs: Inputs, ctx: Context) -> D
 def b_geo(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
     """A missing region makes the row country level."""
     keys = ["campaign_id", "adset_id", "ad_id", "country", "region"]
-    src = _named_b(_newest(raw, ["date", *keys], ctx), ctx)
+    src = _named_b(_newest_b(raw, ["date", *keys], ctx), ctx)
     region = F.col("region")
     level = F.when(region.isNull() | region.isin(list(ctx.missing_regions)), F.lit(COUNTRY_LEVEL)).otherwise(
         F.lit(REGION_LEVEL))
