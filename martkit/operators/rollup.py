@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.casts import ratio
+from .bloom import Filter
 
 DELIVERY_RATIOS = {"ctr": ("clicks", "impressions"), "unique_ctr": ("unique_clicks", "impressions"),
                    "average_cpc": ("cost", "clicks")}
+HOT = Filter(1 << 20, 4)  #: 128 KB
 
 
 def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
@@ -22,10 +24,36 @@ def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Seque
     """
     if attrs:
         df = df.groupBy(*keys, *attrs).agg(*[F.sum(c).alias(c) for c in sums])
+    return rollup_once(df, keys, sums, attrs, ratios)
+
+
+def rollup_once(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
+                ratios: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """As :func:`rollup`, for keys of few rows each, which grouping with the attributes first would shuffle twice.
+
+    Every task sorts its rows, so ``df`` should come out of a shuffle, whose
+    parts are small.
+    """
     out = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in attrs])
     return out.withColumns({name: ratio(n, d) for name, (n, d) in (ratios or {}).items()})
 
 
+def rollup_direct(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
+                  ratios: Mapping[str, tuple[str, str]] | None = None, hot_rows: int = 100_000,
+                  size: Filter = HOT) -> DataFrame:
+    """As :func:`rollup`, for rows as they come from a scan: nothing is sorted or combined before the one shuffle.
+
+    Keys of more than ``hot_rows`` rows would land in one task; a bit table of
+    their hashes, counted first, leaves them to :func:`rollup`. ``df`` is read
+    three times, first in its keys only.
+    """
+    code = F.xxhash64(*[F.col(k) for k in keys])
+    many = df.groupBy(code.alias("_code")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = F.coalesce(size.may_hold(size.table(many, "_code").scalar(), code), F.lit(True))
+    direct = rollup_once(df.where(~hot).repartition(*[F.col(k) for k in keys]), keys, sums, attrs, ratios)
+    return direct.unionByName(rollup(df.where(hot), keys, sums, attrs, ratios))
+
+
 def phrase_totals(stats: DataFrame, keys: Sequence[str], measure: str, total: str) -> DataFrame:
     """Totals over all dates."""
     return stats.groupBy(*keys).agg(F.sum(measure).alias(total))

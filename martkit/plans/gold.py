@@ -13,7 +13,7 @@ from ..functions.keys import surrogate_key
 from ..functions.rules import first_match, flag_in, guard_value, keep_classes, route_metric
 from ..functions.text import phrase_text, shorten, tokens
 from ..operators.lookup import with_country
-from ..operators.rollup import DELIVERY_RATIOS, phrase_totals, rollup, top_phrases
+from ..operators.rollup import DELIVERY_RATIOS, phrase_totals, rollup, rollup_direct, rollup_once, top_phrases
 from ..operators.stack import align, stack
 from .context import Context, ConversionRules
 
@@ -89,7 +89,7 @@ def campaign_mart(a: DataFrame, b: DataFrame, ctx: Context) -> DataFrame:
     """Campaign rows of A, ad rows of B rolled up to campaign and day."""
     attrs = ["week", "week_number", "week_number_to_sort", "weeks_left", "event_name", "event_edition", "account_id",
              "account_name", "campaign_name", "campaign_status", "cut_off_rate", "cut_off_rate_sort_order", "currency"]
-    rolled = rollup(b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
+    rolled = rollup_direct(b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
     rolled = rolled.withColumns({"id": surrogate_key("date", "campaign_id"), "channel_type": F.lit(ctx.channel_b)})
     return stack(_mart(a.withColumn("average_cpc", ratio("cost", "clicks")), ctx.platform_a, CAMPAIGN),
                  _mart(rolled, ctx.platform_b, CAMPAIGN))
@@ -162,7 +162,7 @@ def phrase_mart(terms: DataFrame, creatives: DataFrame, ctx: Context) -> DataFra
     """
     src = phrase_source(terms, creatives, ctx).withColumnRenamed("raw_text", "top_search_combinations")
     keys = [k for k in PHRASE_KEYS if k not in ("year", "month", "day", "word")]
-    out = rollup(src, keys, [*SUMMED, "conversions", "conversion_value"], ["currency"], DELIVERY_RATIOS)
+    out = rollup_once(src, keys, [*SUMMED, "conversions", "conversion_value"], ["currency"], DELIVERY_RATIOS)
     out = out.select("*", *date_parts("date"), F.lower("top_search_combinations").alias("word"))
     key = surrogate_key("date", "event_edition", "platform", "campaign_id", "top_search_combinations")
     return out.select(key.alias("id"), *PHRASE_KEYS, *PHRASE_METRICS)
