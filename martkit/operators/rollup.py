@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.casts import ratio
-from .bloom import Filter
 
 DELIVERY_RATIOS = {"ctr": ("clicks", "impressions"), "unique_ctr": ("unique_clicks", "impressions"),
                    "average_cpc": ("cost", "clicks")}
-HOT = Filter(1 << 20, 4)  #: 128 KB
+_CODE = "_code"
 
 
 def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
@@ -39,19 +38,19 @@ def rollup_once(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs:
 
 
 def rollup_direct(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
-                  ratios: Mapping[str, tuple[str, str]] | None = None, hot_rows: int = 100_000,
-                  size: Filter = HOT) -> DataFrame:
+                  ratios: Mapping[str, tuple[str, str]] | None = None, hot_rows: int = 100_000) -> DataFrame:
     """As :func:`rollup`, for rows as they come from a scan: nothing is sorted or combined before the one shuffle.
 
-    Keys of more than ``hot_rows`` rows would land in one task; a bit table of
-    their hashes, counted first, leaves them to :func:`rollup`. ``df`` is read
-    three times, first in its keys only.
+    Keys of more than ``hot_rows`` rows would land in one task; the hashes of
+    such keys, counted first and at most one per ``hot_rows`` rows, leave them
+    to :func:`rollup`. Adaptive execution drops that part where there are none.
+    ``df`` is read twice, first in its keys only, and once more for hot keys.
     """
-    code = F.xxhash64(*[F.col(k) for k in keys])
-    many = df.groupBy(code.alias("_code")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = F.coalesce(size.may_hold(size.table(many, "_code").scalar(), code), F.lit(True))
-    direct = rollup_once(df.where(~hot).repartition(*[F.col(k) for k in keys]), keys, sums, attrs, ratios)
-    return direct.unionByName(rollup(df.where(hot), keys, sums, attrs, ratios))
+    coded = df.withColumn(_CODE, F.xxhash64(*[F.col(k) for k in keys]))
+    hot = F.broadcast(coded.groupBy(_CODE).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(_CODE))
+    direct = coded.join(hot, _CODE, "left_anti").repartition(*[F.col(k) for k in keys])
+    return rollup_once(direct, keys, sums, attrs, ratios).unionByName(
+        rollup(coded.join(hot, _CODE, "left_semi"), keys, sums, attrs, ratios))
 
 
 def phrase_totals(stats: DataFrame, keys: Sequence[str], measure: str, total: str) -> DataFrame:

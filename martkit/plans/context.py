@@ -30,7 +30,9 @@ class Context:
     development runs (C1). ``tie`` names columns that settle equal ingestion
     stamps (N8). ``collapse_ids`` keeps one row per surrogate id, as a rank over
     that id would (N3); by default no row is lost. ``null_aware`` and
-    ``fan_out`` select the literal SQL reading of N9 and N12.
+    ``fan_out`` select the literal SQL reading of N9 and N12. ``read_again``
+    reads reports of B again to keep most rows out of the dedup shuffle; the
+    rows are the same without it, which suits results of few columns.
     """
 
     as_of: date
@@ -61,5 +63,6 @@ class Context:
     collapse_ids: bool = False
     null_aware: bool = False
     fan_out: bool = False
+    read_again: bool = True
     strict_json: bool = False
     bound: Bound = DEFAULT_BOUND

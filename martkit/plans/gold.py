@@ -89,7 +89,8 @@ def campaign_mart(a: DataFrame, b: DataFrame, ctx: Context) -> DataFrame:
     """Campaign rows of A, ad rows of B rolled up to campaign and day."""
     attrs = ["week", "week_number", "week_number_to_sort", "weeks_left", "event_name", "event_edition", "account_id",
              "account_name", "campaign_name", "campaign_status", "cut_off_rate", "cut_off_rate_sort_order", "currency"]
-    rolled = rollup_direct(b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
+    roll = rollup_direct if ctx.read_again else rollup_once
+    rolled = roll(b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
     rolled = rolled.withColumns({"id": surrogate_key("date", "campaign_id"), "channel_type": F.lit(ctx.channel_b)})
     return stack(_mart(a.withColumn("average_cpc", ratio("cost", "clicks")), ctx.platform_a, CAMPAIGN),
                  _mart(rolled, ctx.platform_b, CAMPAIGN))

@@ -85,6 +85,8 @@ def _newest(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
 
 def _newest_b(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
     """As :func:`_newest`; a report of platform B gives nearly all keys once."""
+    if not ctx.read_again:
+        return _newest(raw, keys, ctx)
     tie = [t for t in ctx.tie if t in raw.columns]
     return latest_repeated(recent(raw, "date", ctx.recent_days, ctx.as_of), keys, tie=tie)
 

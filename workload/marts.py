@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martkit.operators.editions import Editions, prepare_editions
 from martkit.plans import gold, measures
 from martkit.plans.build import Build
+from martkit.plans.context import Context
 
 from . import oracle
 from .standins import CONTEXT, raw, workspace
@@ -25,9 +27,9 @@ def editions(spark: SparkSession, sf: str) -> Editions:
 class Models(Build):
     """The build on stand-ins; one table stands for the two conversion reports of platform B."""
 
-    def __init__(self, spark: SparkSession, sf: str):
+    def __init__(self, spark: SparkSession, sf: str, ctx: Context = CONTEXT):
         alias = {"b_age_gender_conversions": "b_events", "b_country": "b_events"}
-        super().__init__(lambda name: raw(spark, sf, alias.get(name, name)), CONTEXT)
+        super().__init__(lambda name: raw(spark, sf, alias.get(name, name)), ctx)
 
 
 def _silver(name: str) -> Query:
@@ -103,7 +105,8 @@ MART_IDS = {"campaign_mart": ("unique_id", ["date", "campaign_id"], oracle.mart_
 
 def model_ids(spark: SparkSession, sf: str) -> DataFrame:
     """The 64-bit ids are as many as the tuples of their parts, and missing exactly where a part is."""
-    models, counts = Models(spark, sf), []
+    # of each row only the id is counted, so shuffled rows are short
+    models, counts = Models(spark, sf, replace(CONTEXT, read_again=False)), []
     for name, key in {**dict.fromkeys(IDS, "id"), **{n: key for n, (key, _, _) in MART_IDS.items()}}.items():
         counts.append(getattr(models, name)().agg(
             F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"),
