@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,19 +38,30 @@ def rollup_once(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs:
 
 
 def rollup_direct(df: DataFrame, keys: Sequence[str], sums: Sequence[str], attrs: Sequence[str] = (),
-                  ratios: Mapping[str, tuple[str, str]] | None = None, hot_rows: int = 100_000) -> DataFrame:
+                  ratios: Mapping[str, tuple[str, str]] | None = None, hot_rows: int = 100_000,
+                  by: Sequence[str] | None = None, describe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """As :func:`rollup`, for rows as they come from a scan: nothing is sorted or combined before the one shuffle.
 
-    Keys of more than ``hot_rows`` rows would land in one task; the hashes of
-    such keys, counted first and at most one per ``hot_rows`` rows, leave them
-    to :func:`rollup`. Adaptive execution drops that part where there are none.
-    ``df`` is read twice, first in its keys only, and once more for hot keys.
+    Rows are dealt to tasks ``by`` some of the keys, by default all. Where more
+    than ``hot_rows`` rows would go together, their hashes, counted first and at
+    most one per ``hot_rows`` rows, leave them to :func:`rollup`. Adaptive
+    execution drops that part where there are none. ``df`` is read twice, first
+    in its keys only, and once more for hot keys.
+
+    ``describe`` adds the ``attrs`` that ``df`` lacks, as they follow from keys
+    and other attributes, to groups of rows; the shuffle is without them.
     """
-    coded = df.withColumn(_CODE, F.xxhash64(*[F.col(k) for k in keys]))
+    by = by or keys
+    coded = df.withColumn(_CODE, F.xxhash64(*[F.col(k) for k in by]))
     hot = F.broadcast(coded.groupBy(_CODE).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(_CODE))
-    direct = coded.join(hot, _CODE, "left_anti").repartition(*[F.col(k) for k in keys])
+    own = [c for c in attrs if c in df.columns]
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return describe(rows.groupBy(*keys, *own).agg(*[F.sum(c).alias(c) for c in sums])) if describe else rows
+
+    direct = whole(coded.join(hot, _CODE, "left_anti").repartition(*[F.col(k) for k in by]))
     return rollup_once(direct, keys, sums, attrs, ratios).unionByName(
-        rollup(coded.join(hot, _CODE, "left_semi"), keys, sums, attrs, ratios))
+        rollup(whole(coded.join(hot, _CODE, "left_semi")), keys, sums, attrs, ratios))
 
 
 def phrase_totals(stats: DataFrame, keys: Sequence[str], measure: str, total: str) -> DataFrame:

@@ -130,7 +130,10 @@ class Build:
         return gold.roi_mart(self.ad_mart(), self.crm(), self.ctx)
 
     def campaign_mart(self):
-        return gold.campaign_mart(self.a_campaign(), self.b_performance(), self.ctx)
+        if self.ctx.collapse_ids or not self.ctx.read_again:
+            return gold.campaign_mart(self.a_campaign(), self.b_performance(), self.ctx)
+        bare, inputs = silver.b_performance(self.raw("b_performance"), silver.Inputs(), self.ctx), self._inputs("b")
+        return gold.campaign_mart(self.a_campaign(), bare, self.ctx, lambda df: silver.described_b(df, inputs, self.ctx))
 
     def conversion_mart(self):
         return gold.conversion_mart(self.a_conversion(), self.b_conversion(), self.ctx)

@@ -85,12 +85,18 @@ def _mart(silver: DataFrame, platform: str, schema: Schema, **fills: object) ->
     return align(silver, schema, {**base, **fills})
 
 
-def campaign_mart(a: DataFrame, b: DataFrame, ctx: Context) -> DataFrame:
-    """Campaign rows of A, ad rows of B rolled up to campaign and day."""
+def campaign_mart(a: DataFrame, b: DataFrame, ctx: Context, describe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Campaign rows of A, ad rows of B rolled up to campaign and day.
+
+    ``describe`` gives groups of bare rows of B the attributes that follow from campaign and day.
+    """
     attrs = ["week", "week_number", "week_number_to_sort", "weeks_left", "event_name", "event_edition", "account_id",
              "account_name", "campaign_name", "campaign_status", "cut_off_rate", "cut_off_rate_sort_order", "currency"]
-    roll = rollup_direct if ctx.read_again else rollup_once
-    rolled = roll(b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
+    if ctx.read_again:
+        # A campaign's days stay together, so what is shuffled next holds like rows side by side.
+        rolled = rollup_direct(b, ["campaign_id", "date"], SUMMED, attrs, DELIVERY_RATIOS, by=["campaign_id"], describe=describe)
+    else:
+        rolled = rollup_once(describe(b) if describe else b, ["date", "campaign_id"], SUMMED, attrs, DELIVERY_RATIOS)
     rolled = rolled.withColumns({"id": surrogate_key("date", "campaign_id"), "channel_type": F.lit(ctx.channel_b)})
     return stack(_mart(a.withColumn("average_cpc", ratio("cost", "clicks")), ctx.platform_a, CAMPAIGN),
                  _mart(rolled, ctx.platform_b, CAMPAIGN))

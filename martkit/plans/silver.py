@@ -58,9 +58,13 @@ class States:
 
 @dataclass(frozen=True)
 class Inputs:
-    """Prepared small sides shared by the models of one platform."""
+    """Prepared small sides shared by the models of one platform.
 
-    editions: Editions
+    Without ``editions`` a model leaves its labels out, see :func:`described_a`
+    and :func:`described_b`.
+    """
+
+    editions: Editions | None = None
     states: States | None = None
 
 
@@ -74,8 +78,8 @@ def states_b(dim: DataFrame, ctx: Context) -> States:
 
 def _states(dim: DataFrame, status: Column, ctx: Context) -> States:
     df = campaign_states(dim, status, ctx.tie)
-    # The raw dimension bounds the deduplicated one and needs no shuffle to count.
-    return States(df, fits(dim.select("campaign_id", status.alias("s")), ctx.bound))
+    # Old versions of a campaign are not broadcast, so they do not count.
+    return States(df, fits(df, ctx.bound))
 
 
 def _newest(raw: DataFrame, keys: Sequence[str], ctx: Context) -> DataFrame:
@@ -130,6 +134,8 @@ def _with_status(df: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
 
 
 def _finish(df: DataFrame, columns: Sequence[str], inputs: Inputs, ctx: Context) -> DataFrame:
+    if inputs.editions is None:
+        return df.select(*columns)
     labelled = label_events(df, inputs.editions, ctx.as_of, keep_distance=ctx.collapse_ids)
     if ctx.collapse_ids:
         tie = [F.col(c).asc_nulls_last() for c in columns if c != "id"]
@@ -160,6 +166,16 @@ def _cpm(df: DataFrame) -> Column:
     return safe_cast(cpm, "double")
 
 
+def described_a(df: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
+    """Groups of platform A rows with the labels, which follow from series and day."""
+    return label_events(df, inputs.editions, ctx.as_of)
+
+
+def described_b(df: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
+    """Groups of platform B rows with series, status and labels, which follow from campaign and day."""
+    return label_events(_with_status(_named_b(df, ctx), inputs, ctx), inputs.editions, ctx.as_of)
+
+
 # Platform A ---------------------------------------------------------------
 
 def a_campaign_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
@@ -316,22 +332,36 @@ def _set_and_ad() -> dict[str, str | Column]:
             "ad_name": "ad_name"}
 
 
+def _unnamed_head() -> dict[str, str | Column]:
+    return {name: c for name, c in _head(F.lit(None), "ad_id").items() if name != "event_name"}
+
+
+def _finish_b(df: DataFrame, columns: Sequence[str], inputs: Inputs, ctx: Context) -> DataFrame:
+    """Series, status and labels of rows of platform B, or none of them without editions."""
+    if inputs.editions is None:
+        return df.select(*[c for c in columns if c not in ("event_name", "campaign_status")])
+    return _finish(_with_status(_named_b(df, ctx), inputs, ctx), columns, inputs, ctx)
+
+
 def b_performance(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:
-    """J17."""
-    src = _named_b(_newest_b(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx), ctx)
-    typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
+    """J17. Without editions the rows come without series, status and labels."""
+    src = _newest_b(raw, ["date", "campaign_id", "adset_id", "ad_id"], ctx)
+    typed = _typed(src, {**_unnamed_head(), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
-    return _finish(_with_status(typed, inputs, ctx),
-                   [*HEAD, *GROUP, *AD, "cost", "average_cpc", "cpm", *COUNTS, *RATES, *CONVERSIONS, "reach",
-                    "frequency", "currency"], inputs, ctx)
+    return _finish_b(typed, [*HEAD, *GROUP, *AD, "cost", "average_cpc", "cpm", *COUNTS, *RATES, *CONVERSIONS, "reach",
+                             "frequency", "currency"], inputs, ctx)
 
 
 def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFrame, inputs: Inputs,
                            ctx: Context) -> DataFrame:
-    """Ad rows with the texts of their creative."""
-    src = _named_b(_newest_b(raw, ["date", "ad_id"], ctx), ctx)
-    typed = _typed(src, {**_head(F.col("event_name"), "ad_id"), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
+    """Ad rows with the texts of their creative.
+
+    The series is named after the join, whose shuffle need not carry it. Without
+    editions the rows come without series, status and labels.
+    """
+    src = _newest_b(raw, ["date", "ad_id"], ctx)
+    typed = _typed(src, {**_unnamed_head(), **_set_and_ad(), **_delivery_b(src), "cpm": _cpm(src),
                          **_double(conversions="conversions", conversion_value="conversion_value"),
                          **_long(src, reach="reach"), **_double(frequency="frequency"), "currency": "currency"})
     texts = ["headline", "body", "call_to_action_type", "destination_url", "image_url"]
@@ -339,10 +369,9 @@ def b_creative_performance(raw: DataFrame, bridge: DataFrame, creatives: DataFra
     linked = with_creative(typed, bridge, creatives, texts, tie=tie, fan_out=ctx.fan_out)
     linked = linked.withColumnsRenamed({"headline": "ad_headline", "body": "ad_primary_text",
                                         "destination_url": "landing_page_url"})
-    return _finish(_with_status(linked, inputs, ctx),
-                   [*HEAD, *GROUP, *AD, "ad_headline", "ad_primary_text", "call_to_action_type", "landing_page_url",
-                    "image_url", "cost", "average_cpc", "cpm", *COUNTS, *RATES, *CONVERSIONS, "reach", "frequency",
-                    "currency"], inputs, ctx)
+    return _finish_b(linked, [*HEAD, *GROUP, *AD, "ad_headline", "ad_primary_text", "call_to_action_type",
+                              "landing_page_url", "image_url", "cost", "average_cpc", "cpm", *COUNTS, *RATES,
+                              *CONVERSIONS, "reach", "frequency", "currency"], inputs, ctx)
 
 
 def b_conversion_action(raw: DataFrame, inputs: Inputs, ctx: Context) -> DataFrame:

@@ -1,10 +1,15 @@
 """Rollups that shuffle whole rows once."""
 
 import os
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from martkit.operators import rollup
+from martkit.operators.lookup import Bound
+from martkit.plans import gold, silver
+from martkit.plans.context import Context
 from martkit.plans.gold import phrase_mart
 from workload.marts import Models
 
@@ -45,3 +50,33 @@ def test_phrases_are_shuffled_once_by_their_keys(spark):
 def test_campaign_days_are_shuffled_unsorted(spark):
     plan = _plan(Models(spark, SF).campaign_mart())
     assert "REPARTITION_BY_COL" in plan
+
+
+def _shuffled(df, column):
+    return [line for line in _plan(df).split("\n") if "Exchange hashpartitioning" in line and column in line]
+
+
+def test_campaign_days_are_described_after_grouping(spark, rows):
+    m = Models(spark, SF)
+    late, early = m.campaign_mart(), gold.campaign_mart(m.a_campaign(), m.b_performance(), m.ctx)
+    assert rows(late) == rows(early.select(late.columns))
+    dealt = [line for line in _plan(late).split("\n") if "REPARTITION_BY_COL" in line]
+    assert dealt and all("date" not in line.split(")")[0] for line in dealt)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2, 100_000])
+def test_described_rollups_agree(spark, rows, hot_rows):
+    df = spark.createDataFrame(
+        [("a", 1, 1, 2, "x"), ("a", 1, 3, 4, "y"), ("a", 2, 5, None, None), (None, 1, 1, 1, "z"), (None, 1, 2, 2, None),
+         ("b", None, None, None, None), ("b", 2, 1, 0, "w")], "k string, day int, n int, m int, name string")
+
+    def describe(groups):
+        return groups.withColumn("place", F.concat("name", F.coalesce("k", F.lit("-"))))
+    want = rows(rollup.rollup(describe(df), ["day", "k"], SUMS, ATTRS, RATIOS))
+    assert rows(rollup.rollup_direct(df, ["day", "k"], SUMS, ATTRS, RATIOS, hot_rows=hot_rows, by=["k"], describe=describe)) == want
+
+
+def test_old_versions_of_campaigns_do_not_count(spark):
+    dim = spark.createDataFrame([(str(i % 3), "Active", i) for i in range(30)], "campaign_id string, effective_status string, _ingested_at int")
+    dim = dim.withColumn("stop_time", F.lit(None).cast("timestamp"))
+    assert silver.states_b(dim, Context(as_of=date(2024, 6, 1), bound=Bound(max_rows=3))).small
