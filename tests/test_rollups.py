@@ -56,6 +56,23 @@ def _shuffled(df, column):
     return [line for line in _plan(df).split("\n") if "Exchange hashpartitioning" in line and column in line]
 
 
+def test_phrases_are_described_after_grouping(spark, rows):
+    m = Models(spark, SF)
+    late, early = m.phrases_mart(), phrase_mart(m.a_search_terms(), m.b_creative(), m.ctx)
+    assert rows(late) == rows(early.select(late.columns))
+    by_phrase = _shuffled(late, "top_search_combinations")
+    assert by_phrase and not any("event_edition" in line or "cut_off_rate" in line for line in by_phrase)
+
+
+def test_word_rows_are_described_after_grouping(spark, rows):
+    m, keys = Models(spark, SF), [*gold.SET_KEYS, "raw_text"]
+    total = {"combine": lambda p: rollup.phrase_totals(p, keys, "impressions", "total")}
+    for kwargs in ({}, total):
+        late = gold.word_stats(m.phrase_parts(), ["the"], **kwargs)
+        assert rows(late) == rows(gold.word_stats(m.phrase_source(), ["the"], **kwargs).select(late.columns))
+        assert not any("week_number" in line for line in _shuffled(late, "raw_text"))
+
+
 def test_campaign_days_are_described_after_grouping(spark, rows):
     m = Models(spark, SF)
     late, early = m.campaign_mart(), gold.campaign_mart(m.a_campaign(), m.b_performance(), m.ctx)
