@@ -69,3 +69,13 @@ def test_coded_mart_deals_small_campaigns_whole(spark, rows, tmp_path):
     dealt, spread = tree.split("\n   +- ")
     assert "Generate" in dealt and not re.search(r"hashpartitioning\([^)]*word", dealt)
     assert re.search(r"hashpartitioning\([^)]*word", spread)
+
+
+def test_dealt_campaigns_are_shuffled_once(spark, tmp_path):
+    def store(df):
+        df.write.parquet(str(tmp_path / "once"))
+        return spark.read.parquet(str(tmp_path / "once"))
+
+    tree = gold.coded_word_mart(source(spark), ["the"], store)._jdf.queryExecution().executedPlan().toString()
+    dealt = tree.split("Union")[1].split("\n   +- ")[0]
+    assert dealt.count("REPARTITION_BY_NUM") == 1 and not re.search(r"Join[^\n]*word", dealt)
