@@ -1,6 +1,7 @@
 """Rollups that shuffle whole rows once."""
 
 import os
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -11,7 +12,8 @@ from martkit.operators.lookup import Bound
 from martkit.plans import gold, silver
 from martkit.plans.context import Context
 from martkit.plans.gold import phrase_mart
-from workload.marts import Models
+from workload.marts import Models, model_ids
+from workload.standins import CONTEXT
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -97,3 +99,9 @@ def test_old_versions_of_campaigns_do_not_count(spark):
     dim = spark.createDataFrame([(str(i % 3), "Active", i) for i in range(30)], "campaign_id string, effective_status string, _ingested_at int")
     dim = dim.withColumn("stop_time", F.lit(None).cast("timestamp"))
     assert silver.states_b(dim, Context(as_of=date(2024, 6, 1), bound=Bound(max_rows=3))).small
+
+
+def test_ids_are_counted_without_a_window_over_whole_reports(spark, rows):
+    assert "REPARTITION_BY_COL" in _plan(model_ids(spark, SF))
+    again, once = Models(spark, SF), Models(spark, SF, replace(CONTEXT, read_again=False))
+    assert rows(again.campaign_mart()) == rows(once.campaign_mart())
